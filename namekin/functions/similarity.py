@@ -1,7 +1,7 @@
 """Jaro-Winkler scores over columns, and the exact bounds that let most pairs skip scoring.
 
 Spark has no Jaro-Winkler built-in, so scores come from Arrow-batched pandas UDFs that score a whole
-batch at a time. Callers cut the pairs with ``Similarity.may_reach`` first, which runs in the JVM.
+batch at a time. Callers cut the pairs first with JVM-side tests derived from the bounds here.
 """
 
 from __future__ import annotations
@@ -53,16 +53,15 @@ class Similarity:
             jaro = min(bound, max(0.7, (bound - 0.4) / 0.6))
         return 3 * (1 - jaro)
 
-    def may_reach(self, left: Column, right: Column, threshold: float) -> Column:
-        """False only for pairs that cannot reach ``threshold``; cheap, JVM-side.
+    def lengths_fit(self, left: Column, right: Column, threshold: float) -> Column:
+        """False only for pairs whose lengths alone keep them below ``threshold``.
 
-        First the lengths, then the number of characters both strings share.
+        At least ``longer - shorter`` characters of the longer string stay unmatched.
         """
-        budget = F.lit(self.unmatched_budget(threshold))
-        l1, l2 = F.greatest(F.length(left), F.lit(1)), F.greatest(F.length(right), F.lit(1))
-        return lengths_fit(l1, l2, budget) & (
-            (2 - shared_characters(left, right) * (1.0 / l1 + 1.0 / l2)) <= budget + _SLACK
-        )
+        l1, l2 = F.length(left), F.length(right)
+        longer = F.greatest(l1, l2)
+        budget = self.unmatched_budget(threshold) + _SLACK
+        return longer - F.least(l1, l2) <= longer * F.lit(budget)
 
     def score(self, left: list[str], right: list[str]) -> np.ndarray:
         return _score(left, right, self)
@@ -91,7 +90,7 @@ class Similarity:
         @F.pandas_udf("int")
         def first_similar(names: pd.Series, candidates: pd.Series) -> pd.Series:
             left, right = names.to_numpy(), candidates.to_numpy()
-            sizes = np.fromiter((len(c) for c in right), np.int64, len(right))
+            sizes = np.fromiter(map(len, right), np.int64, len(right))
             found = np.full(len(left), -1, np.int32)
             open_rows = np.flatnonzero(sizes > 0)
             step = 0
@@ -116,28 +115,10 @@ def reaches(score, threshold: float):
     return np.round(score, 9) >= threshold
 
 
-def lengths_fit(l1: Column, l2: Column, budget: Column) -> Column:
-    """At least ``|l1 - l2|`` characters of the longer string stay unmatched."""
-    return (1.0 - F.least(l1, l2) / F.greatest(l1, l2)) <= budget + _SLACK
-
-
-def shared_characters(left: Column, right: Column) -> Column:
-    """Size of the multiset intersection of the characters: no matching can be larger."""
-
-    def count(value: Column, char: Column) -> Column:
-        return F.length(value) - F.length(F.replace(value, char, F.lit("")))
-
-    return F.aggregate(
-        F.array_distinct(F.split(left, "")),
-        F.lit(0),
-        lambda total, char: total + F.least(count(left, char), count(right, char)),
-    )
-
-
 def _score(left: list[str], right: list[str], spec: Similarity) -> np.ndarray:
     n = len(left)
-    len1 = np.fromiter((len(s) for s in left), np.int64, n)
-    len2 = np.fromiter((len(s) for s in right), np.int64, n)
+    len1 = np.fromiter(map(len, left), np.int64, n)
+    len2 = np.fromiter(map(len, right), np.int64, n)
     longest = np.maximum(len1, len2)
     matches, swaps = np.zeros(n), np.zeros(n)
 
@@ -160,7 +141,7 @@ def _score(left: list[str], right: list[str], spec: Similarity) -> np.ndarray:
     score = np.where(some, (m / l1 + m / l2 + (m - out_of_order) / m) / 3, 0.0)
 
     if spec.winkler:
-        prefix = np.fromiter((_common_prefix(a, b) for a, b in zip(left, right)), np.int64, n)
+        prefix = _common_prefix(left, right, len1, len2)
         boosted = score + prefix * 0.1 * (1.0 - score)
         if spec.variant == "standard":
             if spec.long_tolerance:
@@ -177,45 +158,53 @@ def _score(left: list[str], right: list[str], spec: Similarity) -> np.ndarray:
     return score
 
 
-def _common_prefix(a: str, b: str) -> int:
-    for i, (x, y) in enumerate(zip(a[:4], b[:4])):
-        if x != y:
-            return i
-    return min(4, len(a), len(b))
+def _codes(strings: list[str], width: int) -> np.ndarray:
+    """Code points, one row per string, zero-padded; as bytes where they all fit."""
+    if not strings:
+        return np.zeros((0, width), np.uint8)
+    codes = np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
+    return codes.astype(np.uint8) if codes.max() < 256 else codes
 
 
-def _codes(strings: list[str], width: int) -> np.ndarray:
-    return np.array(strings, dtype=f"<U{width}").view(np.uint32).reshape(len(strings), width)
+def _common_prefix(left, right, len1, len2) -> np.ndarray:
+    """Length of the common prefix, at most four."""
+    a, b = _codes([s[:4] for s in left], 4), _codes([s[:4] for s in right], 4)
+    inside = np.arange(4) < np.minimum(len1, len2)[:, None]
+    return np.cumprod((a == b) & inside, axis=1).sum(axis=1)
 
 
 def _match_matrix(left, right, len1, len2, variant):
-    """Matched characters and out-of-order weight per pair, all pairs of a chunk in step."""
-    n, w1, w2 = len(left), int(len1.max()), int(len2.max())
-    a, b = _codes(left, w1), _codes(right, w2)
-    reach = np.maximum(np.maximum(len1, len2) // 2 - 1, 0)[:, None]
-    widest = int(reach.max())
-    rows = np.arange(n)
-    free = np.arange(w2) < len2[:, None]
-    used1, used2 = np.zeros((n, w1), bool), np.zeros((n, w2), bool)
+    """Matched characters and out-of-order weight per pair, all pairs of a chunk in step.
+
+    The positions of the right string are bits of one integer per pair.
+    """
+    n, w1 = len(left), int(len1.max())
+    word = np.uint32 if len2.max() <= 32 else np.uint64
+    bits = word().itemsize * 8
+    a, b = _codes(left, w1), _codes(right, bits)
+    one, top = word(1), word(bits - 1)
+    everything = ~word(0)
+    last = everything >> (top - (len2 - 1).astype(word))  # bits 0 .. len2 - 1
+    reach = np.maximum(np.maximum(len1, len2) // 2 - 1, 0)
+    free = last.copy()
+    used1 = np.zeros((n, w1), bool)
     for i in range(w1):
-        lo, hi = max(0, i - widest), min(w2, i + widest + 1)
-        if lo >= hi:
-            break
-        near = np.abs(np.arange(lo, hi) - i) <= reach
-        hits = free[:, lo:hi] & near & (b[:, lo:hi] == a[:, i, None]) & (len1 > i)[:, None]
-        first = hits.argmax(axis=1)
-        matched = rows[hits[rows, first]]
-        position = first[matched] + lo
-        free[matched, position] = False
-        used1[matched, i] = True
-        used2[matched, position] = True
+        same = np.packbits(b == a[:, i, None], axis=1, bitorder="little").view(word)[:, 0]
+        below = np.maximum(i - reach, 0).clip(max=bits - 1).astype(word)
+        above = np.minimum(i + reach, bits - 1).astype(word)
+        window = (everything << below) & (everything >> (top - above))
+        nearest = same & free & window
+        nearest &= ~nearest + one  # lowest set bit: the leftmost free match
+        nearest[len1 <= i] = 0
+        free ^= nearest
+        used1[:, i] = nearest != 0
+    used2 = np.unpackbits((last ^ free)[:, None].view(np.uint8), axis=1, bitorder="little")
     # Row-major order lines up the k-th match of either side, as both have equally many per row.
-    row1, at1 = np.nonzero(used1)
-    row2, at2 = np.nonzero(used2)
-    differ = (a[row1, at1] != b[row2, at2]).astype(float)
-    if variant == "notebook":
-        differ *= 0.5 ** (len1[row1] - at1)
-    return used1.sum(axis=1), np.bincount(row1, weights=differ, minlength=n)
+    row, at1 = np.divmod(np.flatnonzero(used1), w1)
+    chars1, chars2 = a[used1], b[used2.astype(bool)]
+    differ = np.flatnonzero(chars1 != chars2)
+    weight = 0.5 ** (len1[row[differ]] - at1[differ]) if variant == "notebook" else None
+    return used1.sum(axis=1), np.bincount(row[differ], weights=weight, minlength=n)
 
 
 def _match_long(a: str, b: str, variant: str) -> tuple[int, float]:

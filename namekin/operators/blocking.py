@@ -9,13 +9,19 @@ misses and few other pairs share.
 
 from __future__ import annotations
 
+from math import ceil, floor
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from namekin.functions.similarity import Similarity
 from namekin.functions.text import prefix_key
-from namekin.operators.skew import MAX_ROWS_PER_KEY, join_blocks
+from namekin.operators.skew import MAX_ROWS_PER_KEY, split_blocks
 
-_LONGEST_CUT = 24  # a pair with a longer word is keyed by prefix and lengths alone
+_CUT_LENGTH = 24  # a pair with a longer word is keyed by prefix and lengths alone,
+_MAX_CLASSES = 8  # and so is a pair that would need more classes
+# By falling frequency, so that dealing the letters out in turn gives classes of similar weight.
+# Characters not listed are in no class, which costs selectivity but no pairs.
+_ALPHABET = "etaoinsrhldcumfpgwybvkxjqz0123456789"
 
 
 def block_sizes(left: DataFrame, right: DataFrame, word: str = "word", prefix: int = 3) -> DataFrame:
@@ -29,39 +35,6 @@ def block_sizes(left: DataFrame, right: DataFrame, word: str = "word", prefix: i
     return both.withColumn("n_pairs", F.col("n_left") * F.col("n_right"))
 
 
-def _classes(l1: Column, l2: Column, budget: float) -> Column:
-    """Number of alphabet classes for words of these lengths; 0 if keyed by lengths alone."""
-    shorter, longer = F.least(l1, l2), F.greatest(l1, l2)
-    unmatched = F.floor(
-        (F.lit(budget) - 1.0 + shorter / longer) / (1.0 / shorter + 1.0 / longer) + 1e-6
-    )
-    differing = F.greatest(unmatched, F.lit(0)) * 2 + (longer - shorter)
-    return F.when(longer > _LONGEST_CUT, F.lit(0)).otherwise((differing + 1).cast("int"))
-
-
-def _letters(word: Column, prefix: int) -> Column:
-    return F.sort_array(F.split(F.substring(word, prefix + 1, 1 << 30), ""))
-
-
-def _class_letters(letters: Column, classes: Column, index: Column) -> Column:
-    inside = F.filter(letters, lambda c: F.pmod(F.ascii(c), F.greatest(classes, F.lit(1))) == index)
-    return F.when(classes == 0, "").otherwise(F.array_join(inside, ""))
-
-
-def _keys(word: Column, letters: Column, length: Column, classes: Column, prefix: int) -> Column:
-    """One key per class. ``length`` is that of the right-hand word of the pair."""
-    return F.transform(
-        F.sequence(F.lit(0), F.greatest(classes, F.lit(1)) - 1),
-        lambda j: F.struct(
-            classes.alias("classes"),
-            j.alias("index"),
-            F.xxhash64(
-                prefix_key(word, prefix), length, classes, j, _class_letters(letters, classes, j)
-            ).alias("key"),
-        ),
-    )
-
-
 def candidate_pairs(
     left: DataFrame,
     right: DataFrame,
@@ -72,78 +45,93 @@ def candidate_pairs(
     prefix: int = 3,
     max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Pairs with equal prefix that may reach ``threshold``, each once; every pair that does is
-    among them. ``left`` should be the smaller side. Both hold distinct, non-empty words.
+    """Pairs with equal prefix, every pair that reaches ``threshold`` among them.
+
+    ``left`` should be the smaller side; both hold distinct, non-empty words. A pair that agrees in
+    several classes comes once for each; similar pairs have few classes, and a shuffle to remove the
+    repeats would cost more than scoring them.
     """
-    budget = similarity.unmatched_budget(threshold)
+    budget = similarity.unmatched_budget(threshold) + 1e-6
     lw, rw = F.col(left_word), F.col(right_word)
+    by_letters = budget < 0.9  # looser, lengths and letters rule out next to nothing
+    small, big = left, right
+    if by_letters:
+        small = small.withColumn("_length", F.explode(_partner_lengths(F.length(lw), budget)))
+        big = big.withColumn("_length", F.length(rw))
+    lengths = ["_length"] if by_letters else []
+    small = small.withColumn("_key", F.xxhash64(prefix_key(lw, prefix), *lengths))
+    big = big.withColumn("_key", F.xxhash64(prefix_key(rw, prefix), *lengths))
+    big, small = split_blocks(big, small, "_key", rw, max_rows)
+    if by_letters:
+        count = _lookup(_class_table(budget), F.length(lw) * 100 + F.col("_length"), F.lit(0))
+        small = _by_class(small.withColumn("_classes", count), lw, prefix)
+        counts = _lookup(_class_lists(budget), F.length(rw), F.array(F.lit(0)))
+        big = _by_class(big.withColumn("_classes", F.explode(counts)), rw, prefix)
+
     same_prefix = prefix_key(lw, prefix) == prefix_key(rw, prefix)
-    may_reach = similarity.may_reach(lw, rw, threshold)
-    if budget >= 0.9:  # too loose for letter classes to cut anything
-        return _by_prefix(left, right, left_word, right_word, prefix, max_rows).filter(may_reach)
-
-    slack = budget + 1e-6
-    length = F.length(lw)
-    partners = F.sequence(
-        F.ceil(length * (1 - slack)).cast("int"), F.floor(length / (1 - slack)).cast("int")
-    )
-    left_keys = F.flatten(F.transform(
-        F.filter(partners, lambda k: k > 0),
-        lambda k: _keys(lw, F.col("_letters"), k, _classes(length, k, budget), prefix),
-    ))
-    small = (
-        left.withColumn("_letters", _letters(lw, prefix))
-        .withColumn("_key", F.explode(left_keys))
-        .select(*left.columns, F.col("_key.key").alias("_key"))
+    pairs = big.join(small.hint("merge"), ["_key", "_part"])
+    return pairs.filter(same_prefix & similarity.lengths_fit(lw, rw, threshold)).select(
+        *left.columns, *right.columns
     )
 
-    length = F.length(rw)
-    partners = F.filter(
-        F.sequence(
-            F.ceil(length * (1 - slack)).cast("int"), F.floor(length / (1 - slack)).cast("int")
-        ),
-        lambda k: k > 0,
-    )
-    class_counts = F.when(length > _LONGEST_CUT, F.array(F.lit(0))).otherwise(
-        F.array_distinct(F.transform(partners, lambda k: _classes(length, k, budget)))
-    )
-    right_keys = F.flatten(F.transform(
-        class_counts, lambda c: _keys(rw, F.col("_letters"), length, c, prefix)
-    ))
-    big = (
-        right.withColumn("_letters", _letters(rw, prefix))
-        .withColumn("_key", F.explode(right_keys))
-        .select(
-            *right.columns,
-            F.col("_key.key").alias("_key"),
-            F.col("_key.classes").alias("_classes"),
-            F.col("_key.index").alias("_index"),
-        )
-    )
 
-    def same(j):
-        return _class_letters(_letters(lw, prefix), F.col("_classes"), j) == _class_letters(
-            _letters(rw, prefix), F.col("_classes"), j
-        )
+def _classes(l1: int, l2: int, budget: float) -> int | None:
+    """Alphabet classes for a pair of these lengths: 0 if keyed by lengths alone, None if no such
+    pair can reach the threshold."""
+    shorter, longer = sorted((l1, l2))
+    left_over = budget - (longer - shorter) / longer
+    if left_over < 0:
+        return None
+    differing = 2 * floor(left_over / (1 / shorter + 1 / longer)) + longer - shorter
+    return differing + 1 if longer <= _CUT_LENGTH and differing < _MAX_CLASSES else 0
 
-    # A pair can meet under several classes: keep it under the first class that agrees.
-    first = same(F.col("_index")) & ~F.exists(
-        F.sequence(F.lit(0), F.col("_index")), lambda j: (j < F.col("_index")) & same(j)
-    )
-    right_kind = _classes(F.length(lw), F.length(rw), budget) == F.col("_classes")
-    pairs = join_blocks(big, small, "_key", rw, max_rows)
-    return (
-        pairs.filter(same_prefix & right_kind & may_reach & first)
-        .select(*left.columns, *right.columns)
-    )
 
+def _partners(length: int, budget: float) -> range:
+    return range(max(1, ceil(length * (1 - budget))), floor(length / (1 - budget)) + 1)
 
-def _by_prefix(left, right, left_word, right_word, prefix, max_rows):
-    keyed = lambda df, w: df.withColumn(
-        "_key", F.xxhash64(prefix_key(F.col(w), prefix))
-    )
-    pairs = join_blocks(
-        keyed(right, right_word), keyed(left, left_word), "_key", F.col(right_word), max_rows
+
+def _class_table(budget: float) -> dict[int, int]:
+    """Class count by ``100 * left length + right length``, for short words."""
+    pairs = ((a, b) for a in range(1, _CUT_LENGTH + 1) for b in _partners(a, budget))
+    return {
+        a * 100 + b: count
+        for a, b in pairs if (count := _classes(a, b, budget)) is not None
+    }
+
+
+def _class_lists(budget: float) -> dict[int, list[int]]:
+    """Class counts that partners of a short word call for, by its length."""
+    found: dict[int, set[int]] = {}
+    for key, count in _class_table(budget).items():
+        found.setdefault(key // 100, set()).add(count)
+    return {length: sorted(counts) for length, counts in found.items()}
+
+
+def _lookup(table: dict, key: Column, otherwise: Column) -> Column:
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.coalesce(entries[key], otherwise)
+
+
+def _partner_lengths(length: Column, budget: float) -> Column:
+    """Lengths of the words a word of this length can be similar to."""
+    low = F.greatest(F.ceil(length * (1 - budget)), F.lit(1)).cast("int")
+    return F.sequence(low, F.floor(length / (1 - budget)).cast("int"))
+
+
+def _by_class(df: DataFrame, word: Column, prefix: int) -> DataFrame:
+    """One row per class of ``_classes``, with the class and its letters mixed into ``_key``."""
+    known = F.regexp_replace(F.substring(word, prefix + 1, 1 << 30), f"[^{_ALPHABET}]", "")
+    last = F.greatest(F.col("_classes"), F.lit(1)) - 1
+    rows = df.withColumn("_sorted", F.array_join(F.sort_array(F.split(known, "")), "")).withColumn(
+        "_index", F.explode(F.sequence(F.lit(0), last))
     )
-    same_prefix = prefix_key(F.col(left_word), prefix) == prefix_key(F.col(right_word), prefix)
-    return pairs.filter(same_prefix).select(*left.columns, *right.columns)
+    # One table lookup and one translate; a branch per class would be too much code to compile.
+    other_letters = {0: _ALPHABET}
+    for count in range(1, _MAX_CLASSES + 1):
+        for index in range(count):
+            inside = _ALPHABET[index::count]
+            other_letters[count * 100 + index] = "".join(c for c in _ALPHABET if c not in inside)
+    drop = _lookup(other_letters, F.col("_classes") * 100 + F.col("_index"), F.lit(_ALPHABET))
+    letters = F.call_function("translate", F.col("_sorted"), drop, F.lit(""))
+    key = F.xxhash64("_key", "_classes", "_index", letters)
+    return rows.withColumn("_key", key).drop("_sorted", "_classes", "_index", "_length")

