@@ -67,13 +67,21 @@ def write_delimited(
 
 
 def save_table(
-    df: DataFrame, table: str, columns: Sequence[str] | None = None, database: str | None = None
+    df: DataFrame,
+    table: str,
+    columns: Sequence[str] | None = None,
+    database: str | None = None,
+    path: str | None = None,
 ) -> None:
-    """Create or replace a catalog table from the listed columns; the database is created if new."""
+    """Create or replace a catalog table from the listed columns; the database is created if new.
+
+    ``path`` makes it an external table in that folder.
+    """
     if database:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         table = f"{database}.{table}"
-    (df.select(*columns) if columns else df).write.mode("overwrite").saveAsTable(table)
+    writer = (df.select(*columns) if columns else df).write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def save_corrections(spelling: DataFrame, path: str) -> None:
