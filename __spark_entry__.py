@@ -84,11 +84,12 @@ def close_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(similarity: Similarity):
+    """Scores to 9 digits. The offset moves exact halves, which either engine may round up or down."""
     def query(spark, sf_dir):
         pairs = spelling.scored_pairs(
             close_words(spark, sf_dir), "left_word", "right_word", similarity
         )
-        return pairs.withColumn("score", F.round("score", 6))
+        return pairs.withColumn("score", F.round(F.col("score") + 3e-10, 9))
     return query
 
 
@@ -399,11 +400,11 @@ def oracle_sql() -> dict[str, str]:
             JOIN pos r ON r.market = l.market AND r.pos = l.want)"""
 
     def close_scores(score):
-        return f"{close} SELECT market, left_word, right_word, round({score}, 6) AS score FROM close"
+        return f"{close} SELECT market, left_word, right_word, round({score} + 3e-10, 9) AS score FROM close"
 
     def detailed(variant):
         rows = sql.detailed_score("SELECT * FROM close", "left_word", "right_word", variant)
-        return f"{close} SELECT market, left_word, right_word, round(score, 6) AS score FROM ({rows})"
+        return f"{close} SELECT market, left_word, right_word, round(score + 3e-10, 9) AS score FROM ({rows})"
 
     def parents_sql(names, **options):
         return f"""WITH RECURSIVE {names}, {sql.parents_ctes("names", **options)}

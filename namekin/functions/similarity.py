@@ -63,8 +63,12 @@ class Similarity:
         budget = self.unmatched_budget(threshold) + _SLACK
         return longer - F.least(l1, l2) <= longer * F.lit(budget)
 
-    def score(self, left: list[str], right: list[str]) -> np.ndarray:
-        return _score(left, right, self)
+    def score(
+        self, left: list[str], right: list[str], threshold: float | None = None
+    ) -> np.ndarray:
+        """Scores of a batch. With a threshold, long pairs that cannot reach it may score 0."""
+        budget = None if threshold is None else self.unmatched_budget(threshold)
+        return _score(left, right, self, budget)
 
     def column(self) -> Callable[[Column | str, Column | str], Column]:
         """Function of two string columns giving their score.
@@ -96,7 +100,7 @@ class Similarity:
             step = 0
             while len(open_rows):
                 scores = spec.score(
-                    [left[r] for r in open_rows], [right[r][step] for r in open_rows]
+                    [left[r] for r in open_rows], [right[r][step] for r in open_rows], threshold
                 )
                 hit = reaches(scores, threshold)
                 found[open_rows[hit]] = step
@@ -115,7 +119,9 @@ def reaches(score, threshold: float):
     return np.round(score, 9) >= threshold
 
 
-def _score(left: list[str], right: list[str], spec: Similarity) -> np.ndarray:
+def _score(
+    left: list[str], right: list[str], spec: Similarity, budget: float | None
+) -> np.ndarray:
     n = len(left)
     len1 = np.fromiter(map(len, left), np.int64, n)
     len2 = np.fromiter(map(len, right), np.int64, n)
@@ -131,7 +137,11 @@ def _score(left: list[str], right: list[str], spec: Similarity) -> np.ndarray:
         matches[rows], swaps[rows] = _match_matrix(
             [left[r] for r in rows], [right[r] for r in rows], len1[rows], len2[rows], spec.variant
         )
-    for row in np.flatnonzero(live & (longest > _MATRIX_WIDTH)):
+    long = np.flatnonzero(live & (longest > _MATRIX_WIDTH))
+    if budget is not None and len(long):
+        shared = _shared_characters([left[r] for r in long], [right[r] for r in long])
+        long = long[2 - shared / len1[long] - shared / len2[long] <= budget + _SLACK]
+    for row in long:
         matches[row], swaps[row] = _match_long(left[row], right[row], spec.variant)
 
     some = matches > 0
@@ -173,6 +183,18 @@ def _common_prefix(left, right, len1, len2) -> np.ndarray:
     return np.cumprod((a == b) & inside, axis=1).sum(axis=1)
 
 
+def _shared_characters(left, right) -> np.ndarray:
+    """No fewer than the characters both strings of a pair share, counted with repeats."""
+    return np.minimum(_histograms(left), _histograms(right)).sum(axis=1)
+
+
+def _histograms(strings) -> np.ndarray:
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32)
+    cells = np.repeat(np.arange(len(strings)) * 128, lengths) + codes % 128
+    return np.bincount(cells, minlength=128 * len(strings)).reshape(-1, 128)
+
+
 def _match_matrix(left, right, len1, len2, variant):
     """Matched characters and out-of-order weight per pair, all pairs of a chunk in step.
 

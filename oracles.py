@@ -68,9 +68,9 @@ def spelling(vocab: str, minimum: int = 100) -> str:
 
 def corrected(names: str, table: str) -> str:
     """Distinct ``name_clean`` of ``names`` with ``name_corrected``."""
-    return f"""SELECT name_clean, string_agg(coalesce(new_word, word), ' ' ORDER BY at) AS name_corrected
+    return f"""SELECT name_clean, string_agg(coalesce(new_word, word), ' ' ORDER BY spot) AS name_corrected
         FROM (SELECT name_clean, unnest(string_split(name_clean, ' ')) AS word,
-                  generate_subscripts(string_split(name_clean, ' '), 1) AS at
+                  generate_subscripts(string_split(name_clean, ' '), 1) AS spot
               FROM (SELECT DISTINCT name_clean FROM {names}))
         LEFT JOIN {table} ON old_word = word GROUP BY name_clean"""
 

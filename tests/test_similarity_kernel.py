@@ -64,3 +64,11 @@ def test_budget_never_rules_out_a_reaching_pair(spec, options, threshold):
         if a and b and round(jaro_winkler(a, b, **options), 9) >= threshold:
             shared = sum((Counter(a) & Counter(b)).values())
             assert 2 - shared / len(a) - shared / len(b) <= budget + 1e-9, (a, b)
+
+
+@pytest.mark.parametrize("spec,options", SPECS)
+def test_threshold_only_drops_pairs_below_it(spec, options):
+    pairs = random_pairs(800, 120, seed=5)
+    left, right = [a for a, _ in pairs], [b for _, b in pairs]
+    full, cut = spec.score(left, right), spec.score(left, right, 0.9)
+    assert ((full == cut) | ((cut == 0) & (np.round(full, 9) < 0.9))).all()
