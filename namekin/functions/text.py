@@ -16,12 +16,12 @@ def before_slash(name: Column) -> Column:
 
 def strip_symbols(name: Column) -> Column:
     """Keep ASCII letters, digits and spaces only."""
-    return F.regexp_replace(name, "[^a-zA-Z0-9 ]", "")
+    return F.regexp_replace(name, "[^a-zA-Z0-9 ]+", "")
 
 
 def blank_to_empty(name: Column) -> Column:
     """All-whitespace values become the empty string."""
-    return F.when(F.btrim(name, F.lit(_WHITESPACE)) == "", "").otherwise(name)
+    return F.regexp_replace(name, r"^\s+$", "")
 
 
 def squeeze_spaces(name: Column, runs: Sequence[int] = (2, 3, 4)) -> Column:
@@ -36,11 +36,15 @@ def squeeze_spaces(name: Column, runs: Sequence[int] = (2, 3, 4)) -> Column:
 
 
 def lookup(value: Column, table: Mapping[str, str]) -> Column:
-    """Replace a whole value found in ``table``; one step, not transitive."""
+    """Replace a whole value found in ``table``; one step, not transitive.
+
+    ``value`` is bound to a lambda variable, so a long expression is worked out once although it is
+    needed both as the key and as the default.
+    """
     if not table:
         return value
     entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.coalesce(entries[value], value)
+    return F.get(F.transform(F.array(value), lambda v: F.coalesce(entries[v], v)), 0)
 
 
 def tokens(name: Column) -> Column:
@@ -56,7 +60,10 @@ def drop_tokens(words: Column, stop: Sequence[str]) -> Column:
 
 def expand_tokens(words: Column, table: Mapping[str, str]) -> Column:
     """Replace each token found in ``table``."""
-    return F.transform(words, lambda t: lookup(t, table)) if table else words
+    if not table:
+        return words
+    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.transform(words, lambda t: F.coalesce(entries[t], t))
 
 
 def join_tokens(words: Column) -> Column:

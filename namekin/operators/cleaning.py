@@ -81,11 +81,11 @@ def set_nullability(df: DataFrame, columns: Sequence[str], nullable: bool = True
     ``nullable=False`` is enforced: a null met at run time raises.
     """
     if nullable:
-        fields = [
-            T.StructField(f.name, f.dataType, f.nullable or f.name in columns, f.metadata)
-            for f in df.schema
-        ]
-        return df.to(T.StructType(fields))
+        # A branch without an alternative is nullable to Catalyst, whatever its condition.
+        return df.withColumns({
+            f.name: F.when(F.lit(True), F.col(f.name))
+            for f in df.schema if f.name in columns and not f.nullable
+        })
 
     def checked(field: T.StructField) -> Column:
         default = F.lit(_NON_NULL_DEFAULTS[type(field.dataType)]).cast(field.dataType)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_ROWS_PER_KEY = 1_000_000
 HEAVY_KEYS = 10_000
+HEAVY_KEY_CHARS = 1000
 HASH_BUCKETS = 1 << 20
 
 
@@ -22,9 +23,13 @@ def heavy_keys(
     max_rows: int = MAX_ROWS_PER_KEY,
     weight: str | None = None,
 ) -> DataFrame:
-    """The at most ``HEAVY_KEYS`` heaviest keys among those with more than ``max_rows`` rows."""
+    """The at most ``HEAVY_KEYS`` heaviest keys among those with more than ``max_rows`` rows.
+
+    Longer keys than ``HEAVY_KEY_CHARS`` are not considered, so the result is small in bytes too.
+    """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    counted = df.groupBy(*keys).agg(amount.alias("_rows")).filter(F.col("_rows") > max_rows)
+    short = F.length(F.concat(*[F.col(k).cast("string") for k in keys])) <= HEAVY_KEY_CHARS
+    counted = df.groupBy(*keys).agg(amount.alias("_rows")).filter((F.col("_rows") > max_rows) & short)
     return counted.orderBy(F.desc("_rows"), *keys).limit(HEAVY_KEYS).select(*keys)
 
 
