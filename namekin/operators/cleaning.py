@@ -30,7 +30,8 @@ def clean_name(
     name = text.lookup(name, number_aliases)
     words = text.drop_tokens(text.tokens(name), stop_tokens)
     name = text.join_tokens(text.expand_tokens(words, token_expansions))
-    return text.lookup(name, name_aliases)
+    # Never null already; saying so keeps Catalyst from repeating the chain in a null filter.
+    return F.coalesce(text.lookup(name, name_aliases), F.lit(""))
 
 
 def clean_names(
@@ -81,9 +82,9 @@ def set_nullability(df: DataFrame, columns: Sequence[str], nullable: bool = True
     ``nullable=False`` is enforced: a null met at run time raises.
     """
     if nullable:
-        # A branch without an alternative is nullable to Catalyst, whatever its condition.
+        # A branch without an alternative is nullable to the analyser; the optimiser removes it.
         return df.withColumns({
-            f.name: F.when(F.lit(True), F.col(f.name))
+            f.name: F.when(F.col(f.name).isNotNull(), F.col(f.name))
             for f in df.schema if f.name in columns and not f.nullable
         })
 

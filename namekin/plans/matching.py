@@ -50,10 +50,8 @@ def match_parents(records: DataFrame, settings: Settings = Settings()) -> DataFr
         rows = drop_incomplete(blank_nulls(rows, ["raw_name"]))
     else:
         raise ValueError(f"unknown null mode {s.nulls!r}")
-    cleaned = clean_names(rows, **s.cleaning)
-
     counted = written(
-        cleaned.groupBy("name_clean", "market").agg(F.count(F.lit(1)).alias("n")), "names"
+        clean_names(rows, **s.cleaning).groupBy("name_clean", "market").agg(F.count(F.lit(1)).alias("n")), "names"
     )
     vocabulary = build_vocabulary(counted, weight="n")
     spelling = written(
@@ -75,25 +73,25 @@ def match_parents(records: DataFrame, settings: Settings = Settings()) -> DataFr
     names = name_frequency(corrected, "name_corrected", weight="n")
     parents = assign_parents(names, s.rng, s.parent_threshold, s.similarity, s.edge)
 
+    # Copies go first, so the shuffle carries no derived column and cleaning runs after it.
+    cleaned = clean_names(distinct_rows(rows), **s.cleaning)
     if s.join_key == "name":
         renamed = join_lookup(
-            distinct_rows(cleaned), corrected.drop("n"), ["name_clean", "market"],
+            cleaned, corrected.drop("n"), ["name_clean", "market"],
             heavy=heavy_keys(corrected, ["name_clean", "market"], s.max_rows_per_key, "n"),
         )
-        final = renamed.select("record_id", "raw_name", "market", F.col("name_corrected").alias("name_clean"))
-        return attach_parents(
-            final, parents, "name",
-            heavy=heavy_keys(
-                corrected.withColumnRenamed("name_clean", "_").withColumnRenamed("name_corrected", "name_clean"),
-                ["name_clean"], s.max_rows_per_key, "n",
-            ),
+        final = renamed.select(
+            "record_id", "raw_name", "market", F.col("name_corrected").alias("name_clean")
         )
+        by_name = corrected.select(F.col("name_corrected").alias("name_clean"), "n")
+        heavy = heavy_keys(by_name, ["name_clean"], s.max_rows_per_key, "n")
+        return attach_parents(final, parents, "name", heavy=heavy)
     by_clean_name = corrected.join(
         parents.select(F.col("name").alias("name_corrected"), "market", "parent_name"),
         ["name_corrected", "market"],
     )
     joined = join_lookup(
-        distinct_rows(cleaned), by_clean_name.drop("n"), ["name_clean", "market"],
+        cleaned, by_clean_name.drop("n"), ["name_clean", "market"],
         heavy=heavy_keys(counted, ["name_clean", "market"], s.max_rows_per_key, "n"),
     )
     return joined.select(
