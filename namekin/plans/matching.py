@@ -51,7 +51,10 @@ def match_parents(records: DataFrame, settings: Settings = Settings()) -> DataFr
     else:
         raise ValueError(f"unknown null mode {s.nulls!r}")
     counted = written(
-        clean_names(rows, **s.cleaning).groupBy("name_clean", "market").agg(F.count(F.lit(1)).alias("n")), "names"
+        clean_names(rows, **s.cleaning)
+        .groupBy("name_clean", "market")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "names",
     )
     vocabulary = build_vocabulary(counted, weight="n")
     spelling = written(
