@@ -6,13 +6,18 @@ batch at a time. Callers cut the pairs first with JVM-side tests derived from th
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# Ship the scoring code with the UDFs, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SLACK = 1e-9
 _MATRIX_WIDTH = 64  # longer strings are matched one pair at a time in linear time
 _CHUNK_CELLS = 1 << 18
