@@ -19,6 +19,11 @@ from namekin.plans.matching import Settings, match_parents  # noqa: E402
 from namekin.sources import tables  # noqa: E402
 from namekin.sources.scratch import scratch_path, written  # noqa: E402
 
+try:  # the corpus operators may be left out of an installation
+    from namekin.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus = None
+
 DAY = "2001-08-01"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 NOTEBOOK = Similarity(variant="notebook")
@@ -332,6 +337,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _name_queries() | (corpus.queries() if corpus else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _name_sql() | (corpus.oracle_sql() if corpus else {})
+
+
+def _name_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "trailing_window_records": trailing_window_records,
         "clean_names_orders": clean_names_orders,
@@ -382,7 +395,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def _name_sql() -> dict[str, str]:
     clean_records = sql.clean(sql.RECORDS)
     clean_sentences = sql.clean(sql.SENTENCES)
     words_ = f"words AS ({sql.WORDS})"
