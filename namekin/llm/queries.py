@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namekin.llm import decontaminate, license_scan, quality_rules
+from namekin.llm import decontaminate, license_scan, near_dedup, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,17 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op5_near_dedup(spark, sf_dir):
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op7_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -38,7 +49,9 @@ def op9_decontamination(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op5_near_dedup": op5_near_dedup,
         "op7_license_scan": op7_license_scan,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_decontamination": op9_decontamination,
     }
 
@@ -110,8 +123,46 @@ def _contamination_sql() -> str:
     FROM docs LEFT JOIN places USING (rid) LEFT JOIN ids USING (rid)"""
 
 
+def _near_sql() -> str:
+    lowered = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+    WITH RECURSIVE docs AS (SELECT doc_id, {_spaced(lowered)} AS w FROM documents),
+    sets AS (SELECT DISTINCT doc_id, gram FROM (
+        SELECT doc_id, array_to_string(w[s + 1 : s + 2], ' ') AS gram FROM (
+            SELECT doc_id, w, unnest(range(greatest(len(w) - 1, 1))) AS s FROM docs WHERE len(w) > 0))),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM sets a JOIN sets b
+        ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+        WHERE 100 * n_both >= 80 * (p.n + q.n - n_both)),
+    ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach(node, low) AS (SELECT doc_id, doc_id FROM docs
+        UNION SELECT y, low FROM reach JOIN ways ON x = node WHERE low < y),
+    final AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM docs JOIN final ON node = doc_id LEFT JOIN sizes USING (doc_id)"""
+
+
+def _repeats_sql() -> str:
+    run = substring_dedup.RUN
+    return f"""
+    WITH docs AS (SELECT doc_id, {_spaced()} AS w FROM documents),
+    grams AS (SELECT doc_id, s, array_to_string(w[s + 1 : s + {run}], ' ') AS gram FROM (
+        SELECT doc_id, w, unnest(range(len(w) - {run - 1})) AS s FROM docs WHERE len(w) >= {run})),
+    later AS (SELECT doc_id, s FROM (
+        SELECT *, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS nth FROM grams) WHERE nth > 1),
+    gone AS (SELECT DISTINCT doc_id, s + k AS pos FROM later, range({run}) AS r(k)),
+    placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM docs),
+    left_over AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.pos) AS kept, count(*) AS n
+        FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN left_over USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_near_dedup": _near_sql(),
+        "op8_substring_dedup": _repeats_sql(),
         "op1_quality_rules": _quality_sql(),
         "op9_decontamination": _contamination_sql(),
     }
