@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namekin.llm import decontaminate, license_scan, near_dedup, quality_rules, substring_dedup
+from namekin.llm import decontaminate, license_scan, near_dedup, quality_rules, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,16 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT, F.lit(False))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"), "n_segments",
+    )
+
+
 def op5_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -49,6 +59,7 @@ def op9_decontamination(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_toxicity": op3_toxicity,
         "op5_near_dedup": op5_near_dedup,
         "op7_license_scan": op7_license_scan,
         "op8_substring_dedup": op8_substring_dedup,

@@ -28,6 +28,8 @@ _LOWER_CODES = _CODES.copy()
 _LOWER_CODES[65:91] = _CODES[97:123]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_IS_OTHER = np.ones(256, bool)
+_IS_OTHER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
 
@@ -106,10 +108,21 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte and end of every word without white space, and the words before each text."""
+    return _bounds(data, offsets, _IS_SPACE)
+
+
+def letter_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for runs of letters; everything beyond ASCII counts as a letter."""
+    return _bounds(data, offsets, _IS_OTHER)
+
+
+def _bounds(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    space = _IS_SPACE[data]
+    space = between[data]
     before = np.empty(len(data), bool)
     before[0], before[1:] = True, space[:-1]
     after = np.empty(len(data), bool)
