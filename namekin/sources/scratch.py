@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,8 +33,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the scratch folder now and return a scan of what was written."""
+    """Write ``df`` to the scratch folder now and return a scan of what was written.
+
+    The shuffle files of the write are removed as soon as it has ended: nothing reads them again.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
