@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from namekin.llm import decontaminate, license_scan, near_dedup, quality_rules, substring_dedup, toxicity
+from namekin.llm import (
+    decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, quality_rules,
+    substring_dedup, token_counts, toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,12 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op2_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.fit(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -31,10 +40,24 @@ def op3_toxicity(spark, sf_dir):
     )
 
 
+def op4_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = piece_scan.encode(docs)
+    decoded = piece_scan.decode(encoded)
+    return decoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("text_sha256"),
+    )
+
+
 def op5_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.without_repeats(docs).select(
@@ -56,14 +79,22 @@ def op9_decontamination(spark, sf_dir):
     )
 
 
+def op10_token_counts(spark, sf_dir):
+    return token_counts.length_table(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_html_extraction": op2_html_extraction,
         "op3_toxicity": op3_toxicity,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_near_dedup": op5_near_dedup,
+        "op6_packing": op6_packing,
         "op7_license_scan": op7_license_scan,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_token_counts": op10_token_counts,
     }
 
 
