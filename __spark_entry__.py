@@ -20,9 +20,10 @@ from namekin.sources import tables  # noqa: E402
 from namekin.sources.scratch import scratch_path, written  # noqa: E402
 
 try:  # the corpus operators may be left out of an installation
+    import corpus_pipeline  # noqa: E402
     from namekin.llm import queries as corpus  # noqa: E402
 except ImportError:
-    corpus = None
+    corpus = corpus_pipeline = None
 
 DAY = "2001-08-01"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -337,7 +338,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _name_queries() | (corpus.queries() if corpus else {})
+    more = corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}
+    return _name_queries() | more
 
 
 def oracle_sql() -> dict[str, str]:
