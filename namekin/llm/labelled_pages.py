@@ -34,4 +34,11 @@ SKELETONS = (
     '<body><div class="popup modal"><p>{s}</p></div><div class="wrapper"><div class="main content"><div data-keep="1"><h1>{s}</h1>'
     '<p>{p}</p><ol><li>{p}</li><li>{s}</li></ol><p>{p}</p></div><div class="tags meta"><a href="/">{s}</a></div></div>'
     '<div class="widget side"><p>{p}</p></div></div><div class="copyright legal"><p>{p}</p></div></body>',
+    '<body><nav>{s}</nav><article data-keep="1"><h1>{s}</h1><p>{p}</p></article><aside>{p}</aside><footer>{s}</footer></body>',
+    '<body><header>{s}</header><nav>{s}</nav><main data-keep="1"><p>{p}</p><div>{p}</div></main><aside><p>{p}</p></aside>'
+    '<footer><p>{p}</p></footer></body>',
+    '<body><div class="menu">{s}</div><main data-keep="1"><h1>{s}</h1><div>{p}</div><p>{p}</p></main><aside><p>{s}</p></aside>'
+    '<form><p>{p}</p></form></body>',
+    '<body><div class="nav">{s}</div><div class="post" data-keep="1"><h1>{s}</h1><div>{p}</div></div><div class="comments">'
+    '<div>{p}</div><div>{s}</div></div><div class="sidebar">{p}</div><div class="ad">{p}</div></body>',
 )
