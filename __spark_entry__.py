@@ -89,16 +89,31 @@ def close_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.filter(F.col("at") > F.col("pos")).select("market", "left_word", "right_word")
 
 
+def nine_digits(df: DataFrame) -> DataFrame:
+    """Scores to 9 digits, halves decided in floating point as SQL engines do."""
+    return df.withColumn("score", F.floor(F.col("score") * 1e9 + 0.5) / 1e9)
+
+
 def scored(similarity: Similarity):
-    """Scores to 9 digits. The offset moves exact halves, which either engine may round up or down."""
     def query(spark, sf_dir):
-        pairs = spelling.scored_pairs(
-            close_words(spark, sf_dir), "left_word", "right_word", similarity
-        )
-        return pairs.withColumn("score", F.round(F.col("score") + 3e-10, 9))
+        pairs = close_words(spark, sf_dir)
+        return nine_digits(spelling.scored_pairs(pairs, "left_word", "right_word", similarity))
     return query
 
 
+def pair_scores_sentences(spark, sf_dir):
+    """Scores of whole sentences, many of them longer than 64 characters, with the next in order.
+
+    Characters beyond ASCII become a question mark, as the SQL function compares bytes.
+    """
+    rows = sentences(spark, sf_dir).withColumn("raw_name", F.regexp_replace("raw_name", "[^\\x00-\\x7F]", "?"))
+    names = vocabulary.name_frequency(rows, "raw_name")
+    near = neighbour_frames(parents.sorted_names(names), ["market"], ["name"], 1)
+    pairs = near.select("market", F.col("name").alias("left_text"), "pos", F.inline("neighbours").alias("at", "right_text"))
+    pairs = pairs.filter(F.col("at") > F.col("pos")).select("market", "left_text", "right_text")
+    return nine_digits(spelling.scored_pairs(pairs, "left_text", "right_text", Similarity()))
+
+
 # Queries.
 
 def trailing_window_records(spark, sf_dir):
@@ -163,8 +178,7 @@ def blocked_pairs(spark, sf_dir):
 
 
 def spelling_table(spark, sf_dir):
-    table_ = spelling.build_spelling(word_counts(spark, sf_dir))
-    return table_.withColumn("score", F.round("score", 6))
+    return nine_digits(spelling.build_spelling(word_counts(spark, sf_dir)))
 
 
 def corrected_names(spark, sf_dir):
@@ -296,14 +310,16 @@ def renamed_columns(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    tables.write_csv(clean_names_sentences(spark, sf_dir).drop("raw_name"), path)
-    return tables.read_csv(spark, path, "record_id string, market string, name_clean string")
+    rows = table(spark, sf_dir, "documents")
+    tables.write_csv(rows, path)
+    return tables.read_csv(spark, path, rows.schema)
 
 
 def delimited_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "delimited")
-    tables.write_delimited(name_frequency(spark, sf_dir), path)
-    return tables.read_delimited(spark, path, "name string, market string, freq long")
+    rows = table(spark, sf_dir, "conversations")
+    tables.write_delimited(rows, path)
+    return tables.read_delimited(spark, path, rows.schema)
 
 
 def table_roundtrip(spark, sf_dir):
@@ -317,7 +333,7 @@ def table_roundtrip(spark, sf_dir):
 def corrections_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "corrections")
     tables.save_corrections(spelling.build_spelling(word_counts(spark, sf_dir)), path)
-    return tables.load_corrections(spark, path).withColumn("score", F.round("score", 6))
+    return nine_digits(tables.load_corrections(spark, path))
 
 
 def matched_records(spark, sf_dir):
@@ -332,6 +348,56 @@ def matched_sentences_name_only(spark, sf_dir):
     return match_parents(sentences(spark, sf_dir), Settings(join_key="name"))
 
 
+def matched_split(key: str):
+    """The whole job with a row limit low enough to split many keys."""
+    def query(spark, sf_dir):
+        return match_parents(records(spark, sf_dir), Settings(join_key=key, max_rows_per_key=4))
+    return query
+
+
+def matched_records_notebook(spark, sf_dir):
+    """All markets together, sample aliases, one pass over double spaces, blanks and null ids kept."""
+    options = {
+        "token_expansions": cleaning.lists.TOKEN_EXPANSIONS, "name_aliases": cleaning.lists.SAMPLE_NAME_ALIASES,
+        "squeeze_runs": (2,),
+    }
+    orders = customers_with_orders(spark, sf_dir).select(
+        F.col("o_orderkey").cast("string").alias("record_id"), F.col("c_name").alias("raw_name"),
+        F.col("c_mktsegment").alias("market"),
+    )
+    return match_parents(orders, Settings(
+        per_market=False, join_key="name", nulls="blank", parent_threshold=0.95,
+        parent_similarity=NOTEBOOK, cleaning=options,
+    ))
+
+
+def matched_with_saved_corrections(spark, sf_dir):
+    path = scratch_path(spark, "corrections")
+    rows = cleaning.clean_names(sentences(spark, sf_dir))
+    tables.save_corrections(spelling.build_spelling(vocabulary.build_vocabulary(rows)), path)
+    return match_parents(sentences(spark, sf_dir), corrections=tables.load_corrections(spark, path))
+
+
+def parents_with_null_market(spark, sf_dir):
+    """Names of priorities and customers; customers without orders have no market."""
+    rows = customers_with_orders(spark, sf_dir).select(
+        F.col("c_name").alias("name_clean"), F.col("o_orderpriority").alias("market")
+    )
+    return parents.assign_parents(vocabulary.name_frequency(rows))
+
+
+def catalog_to_file(spark, sf_dir):
+    """A catalog table in, market list and window applied, the delimited final file out and read again."""
+    path = scratch_path(spark, "accounts")
+    columns = ["o_orderkey", "c_name", "c_mktsegment", "o_orderdate"]
+    tables.save_table(accounts(spark, sf_dir), "accounts", columns, "namekin", path)
+    rows = tables.read_records(spark.table("namekin.accounts"), ACCOUNT_COLUMNS, markets=SEGMENTS[:3], as_of=DAY)
+    final = match_parents(rows.withColumn("record_id", F.col("record_id").cast("string")))
+    out = scratch_path(spark, "final")
+    tables.write_delimited(final, out)
+    return tables.read_delimited(spark, out, final.schema)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The whole job on the smallest tables."""
     return matched_sentences(spark, "/root/testdata/sf0.001")
@@ -394,6 +460,13 @@ def _name_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "matched_records": matched_records,
         "matched_sentences": matched_sentences,
         "matched_sentences_name_only": matched_sentences_name_only,
+        "matched_records_split": matched_split("name_market"),
+        "matched_records_split_name_only": matched_split("name"),
+        "matched_records_notebook": matched_records_notebook,
+        "matched_with_saved_corrections": matched_with_saved_corrections,
+        "parents_with_null_market": parents_with_null_market,
+        "catalog_to_file": catalog_to_file,
+        "pair_scores_sentences": pair_scores_sentences,
     }
 
 
@@ -415,11 +488,11 @@ def _name_sql() -> dict[str, str]:
             JOIN pos r ON r.market = l.market AND r.pos = l.want)"""
 
     def close_scores(score):
-        return f"{close} SELECT market, left_word, right_word, round({score} + 3e-10, 9) AS score FROM close"
+        return f"{close} SELECT market, left_word, right_word, round({score}, 9) AS score FROM close"
 
     def detailed(variant):
         rows = sql.detailed_score("SELECT * FROM close", "left_word", "right_word", variant)
-        return f"{close} SELECT market, left_word, right_word, round(score + 3e-10, 9) AS score FROM ({rows})"
+        return f"{close} SELECT market, left_word, right_word, round(score, 9) AS score FROM ({rows})"
 
     def parents_sql(names, **options):
         return f"""WITH RECURSIVE {names}, {sql.parents_ctes("names", **options)}
@@ -446,6 +519,8 @@ def _name_sql() -> dict[str, str]:
     )
     left_customers = """SELECT c_name, c_mktsegment, o_orderkey, o_orderpriority
         FROM customer LEFT JOIN orders ON c_custkey = o_custkey"""
+    recent = f"""{sql.RECORDS} WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
+        AND o_orderdate >= DATE '{DAY}' - INTERVAL 12 MONTH"""
     fixes = f"{vocab}, fixes AS ({sql.spelling('vocab')})"
 
     return {
@@ -478,7 +553,7 @@ def _name_sql() -> dict[str, str]:
         "jaro_scores": close_scores("jaro_similarity(left_word, right_word)"),
         "pair_scores_long": detailed("standard"),
         "pair_scores_notebook": detailed("notebook"),
-        "spelling_table": f"WITH {fixes} SELECT old_word, new_word, round(score, 6) AS score FROM fixes",
+        "spelling_table": f"WITH {fixes} SELECT old_word, new_word, round(score, 9) AS score FROM fixes",
         "corrected_names": f"""WITH cleaned AS ({clean_sentences}),
             vocab AS ({sql.vocabulary("SELECT * FROM cleaned", "name_clean")}),
             fixes AS ({sql.spelling("vocab")}), renamed AS ({sql.corrected("cleaned", "fixes")})
@@ -528,12 +603,25 @@ def _name_sql() -> dict[str, str]:
         "table_shape": f"SELECT count(*) AS n_rows, 3 AS n_columns FROM ({sql.SENTENCES})",
         "renamed_columns": f"""WITH {record_names_}
             SELECT name AS name_clean, market, freq, name AS parent_name, 1 AS score FROM names""",
-        "csv_roundtrip": f"SELECT record_id, market, name_clean FROM ({clean_sentences})",
-        "delimited_roundtrip": f"WITH {sentence_names_} SELECT * FROM names",
+        "csv_roundtrip": "SELECT * FROM documents",
+        "delimited_roundtrip": "SELECT * FROM conversations",
         "table_roundtrip": f"SELECT record_id, market, raw_name, name_clean FROM ({clean_records})",
-        "corrections_roundtrip": f"WITH {fixes} SELECT old_word, new_word, round(score, 6) AS score FROM fixes",
+        "corrections_roundtrip": f"WITH {fixes} SELECT old_word, new_word, round(score, 9) AS score FROM fixes",
         "matched_records": f"WITH RECURSIVE {sql.matched_ctes(sql.RECORDS)} SELECT * FROM final",
         "matched_sentences": f"WITH RECURSIVE {sql.matched_ctes(sql.SENTENCES)} SELECT * FROM final",
         "matched_sentences_name_only":
             f"WITH RECURSIVE {sql.matched_ctes(sql.SENTENCES)} SELECT * FROM final_by_name",
+        "matched_records_split": f"WITH RECURSIVE {sql.matched_ctes(sql.RECORDS)} SELECT * FROM final",
+        "matched_records_split_name_only": f"WITH RECURSIVE {sql.matched_ctes(sql.RECORDS)} SELECT * FROM final_by_name",
+        "matched_with_saved_corrections": f"WITH RECURSIVE {sql.matched_ctes(sql.SENTENCES)} SELECT * FROM final",
+        "parents_with_null_market": f"""WITH RECURSIVE orig AS (
+                SELECT c_name AS name, o_orderpriority AS real, count(*) AS freq FROM ({left_customers}) GROUP BY ALL),
+            names AS (SELECT name, coalesce(real, '<null>') AS market, freq FROM orig), {sql.parents_ctes("names")}
+            SELECT name, nullif(market, '<null>') AS market, CAST(freq AS BIGINT) AS freq, parent_name FROM parents""",
+        "catalog_to_file": f"""WITH RECURSIVE {sql.matched_ctes(recent)} SELECT * FROM final""",
+        "pair_scores_sentences": f"""WITH names AS (SELECT regexp_replace(raw_name, '[^\\x00-\\x7F]', '?', 'g') AS name, market,
+                count(*) AS freq FROM ({sql.SENTENCES}) GROUP BY ALL),
+            pos AS ({sql.positions("names")})
+            SELECT l.market, l.name AS left_text, r.name AS right_text, round({sql.standard_score("l.name", "r.name")}, 9) AS score
+            FROM pos l JOIN pos r ON r.market = l.market AND r.pos = l.pos + 1""",
     }

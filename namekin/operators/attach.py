@@ -18,26 +18,29 @@ def attach_parents(
     key: str = "name_market",
     name: str = "name_clean",
     market: str = "market",
-    heavy: DataFrame | None = None,
+    counts: DataFrame | None = None,
     max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Distinct ``(record_id, raw_name, name_clean, parent_name, market, score)``.
 
     ``parents`` holds ``(name, market, parent_name)``. With ``key="name"`` the market is not
     compared: a record gets the parents its name has in any market; the market shown is the
-    record's own. ``heavy`` may list the heaviest join keys of ``records`` if they are known;
-    otherwise they are counted.
+    record's own. Null markets are equal to each other. ``counts`` may give the records per join key,
+    in column ``n``; otherwise they are counted. Records are shuffled once: the join removes
+    their copies too.
     """
     if key not in ("name", "name_market"):
         raise ValueError(f"unknown join key {key!r}")
-    rows = distinct_rows(records.select("record_id", "raw_name", name, market))
     keys = [name] if key == "name" else [name, market]
     table = parents.withColumnsRenamed({"name": name, "market": market}).select(
         *keys, "parent_name"
     )
     if key == "name":
-        table = table.distinct()  # both sides distinct: so is the result
-    joined = join_lookup(rows, table, keys, heavy=heavy, max_rows=max_rows)
+        table = table.distinct()
+    rows = records.select("record_id", "raw_name", name, market)
+    joined = join_lookup(
+        rows, table, keys, counts=counts, max_rows=max_rows, null_safe=True, distinct=True
+    )
     return joined.select(
         "record_id", "raw_name", name, "parent_name", market, F.lit(1).alias("score")
     )

@@ -71,12 +71,22 @@ def best_neighbours(
     )
 
 
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    """Join on the columns, null equal to null; the columns of ``left`` stay."""
+    renamed = right.withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same = same & left[c].eqNullSafe(renamed[f"_of_{c}"])
+    return left.join(renamed, same, how).drop(*[f"_of_{c}" for c in columns])
+
+
 def follow_pointers(pointers: DataFrame, groups: Sequence[str] = _GROUPS) -> DataFrame:
     """Final target of every pointer: ``(groups, pos, target_pos, target_name)``.
 
     A pointer to an earlier row takes over what that row points to; a pointer to a later row ends
-    there. Pointer jumping halves the open chains each round. A round writes only rows that were
-    still open, so later rounds shrink. Frequency rises along a chain, so there are no cycles.
+    there. Pointer jumping halves the open chains each round. A round works on rows that are still
+    open and on the rows they name, and writes only the open ones, so rounds shrink. Frequency
+    rises along a chain, so there are no cycles.
     """
     keys = [*groups, "pos"]
     columns = [*keys, "target_pos", "target_name", "open"]
@@ -85,17 +95,19 @@ def follow_pointers(pointers: DataFrame, groups: Sequence[str] = _GROUPS) -> Dat
     closed = []
     while not latest.filter("open").isEmpty():
         closed.append(latest.filter(~F.col("open")))
-        state = latest.filter("open")
+        opened = latest.filter("open")
+        state = opened
         for part in closed:
             state = state.unionByName(part)
-        ahead = state.select(
+        named = opened.select(*groups, F.col("target_pos").alias("pos")).distinct()
+        ahead = _same(state, named, keys, "left_semi").select(
             *groups,
             F.col("pos").alias("target_pos"),
             F.col("target_pos").alias("next_pos"),
             F.col("target_name").alias("next_name"),
             F.col("open").alias("next_open"),
         )
-        step = latest.filter("open").join(ahead, [*groups, "target_pos"], "left").select(
+        step = _same(opened, ahead, [*groups, "target_pos"], "left").select(
             *keys,
             F.coalesce("next_pos", "target_pos").alias("target_pos"),
             F.coalesce("next_name", "target_name").alias("target_name"),
@@ -119,7 +131,8 @@ def assign_parents(
 ) -> DataFrame:
     """Parent of every name: ``(name, market, freq, parent_name)``.
 
-    ``names`` holds ``(name, market, freq)``, one row per name and market; with
+    ``names`` holds ``(name, market, freq)``, one row per name and market, a null market being one of
+    its own; with
     ``per_market=False`` it holds ``(name, freq)`` and all names are matched together.
     """
     if not per_market:
@@ -127,7 +140,7 @@ def assign_parents(
     positioned = sorted_names(names.select("name", "market", "freq"))
     pointers = best_neighbours(positioned, rng, threshold, similarity, edge, bucket_size)
     final = follow_pointers(pointers).drop("target_pos")
-    matched = positioned.join(final, [*_GROUPS, "pos"], "left").select(
+    matched = _same(positioned, final, [*_GROUPS, "pos"], "left").select(
         "name", "market", "freq", F.coalesce("target_name", "name").alias("parent_name")
     )
     return matched if per_market else matched.drop("market")

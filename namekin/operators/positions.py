@@ -35,10 +35,14 @@ def with_positions(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -
             F.sum("_rows").over(group).alias("n"),
         )
     )
+    shifts = shifts.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, "_run"]})
+    same = F.col("_run") == F.col("_of__run")
+    for c in groups:  # a null is a group like any other
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
     return (
-        ranged.join(shifts, [*groups, "_run"])
+        ranged.join(shifts, same)
         .withColumn("pos", F.col("_row") + F.col("_shift"))
-        .drop("_run", "_row", "_shift")
+        .drop("_run", "_row", "_shift", *[f"_of_{c}" for c in [*groups, "_run"]])
     )
 
 

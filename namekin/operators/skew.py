@@ -1,8 +1,9 @@
 """Joins that stay balanced when one key holds a large share of all rows.
 
-Two forms: ``join_lookup`` for a side with one row per key, where the heaviest keys are looked up by
-broadcast and never shuffled; ``split_blocks`` for many-to-many joins, where a heavy block is split.
-What they broadcast is bounded by constants below, whatever the size of the data.
+Both forms count rows per hash bucket of the key and split heavy buckets into parts: the large side
+takes a part by a hash of the row, the other side is repeated once per part, and an ordinary join on key
+and part does the rest. Only the table of parts is broadcast; it has at most ``HASH_BUCKETS`` rows of
+two integers, whatever the data.
 """
 
 from __future__ import annotations
@@ -12,25 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_ROWS_PER_KEY = 1_000_000
-HEAVY_KEYS = 10_000
-HEAVY_KEY_CHARS = 1000
-HASH_BUCKETS = 1 << 20
+HASH_BUCKETS = 1 << 17
 
 
-def heavy_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    max_rows: int = MAX_ROWS_PER_KEY,
-    weight: str | None = None,
-) -> DataFrame:
-    """The at most ``HEAVY_KEYS`` heaviest keys among those with more than ``max_rows`` rows.
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
 
-    Longer keys than ``HEAVY_KEY_CHARS`` are not considered, so the result is small in bytes too.
-    """
+
+def _parts(
+    counted: DataFrame, bucket: Column, max_rows: int, weight: str | None = None
+) -> DataFrame:
+    """``(_bucket, _parts)`` of the buckets with more than ``max_rows`` rows, marked for broadcast."""
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    short = F.length(F.concat(*[F.col(k).cast("string") for k in keys])) <= HEAVY_KEY_CHARS
-    counted = df.groupBy(*keys).agg(amount.alias("_rows")).filter((F.col("_rows") > max_rows) & short)
-    return counted.orderBy(F.desc("_rows"), *keys).limit(HEAVY_KEYS).select(*keys)
+    return F.broadcast(
+        counted.groupBy(bucket)
+        .agg(amount.alias("_rows"))
+        .filter(F.col("_rows") > max_rows)
+        .select("_bucket", F.ceil(F.col("_rows") / max_rows).cast("int").alias("_parts"))
+    )
 
 
 def join_lookup(
@@ -38,23 +38,48 @@ def join_lookup(
     lookup: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    heavy: DataFrame | None = None,
+    counts: DataFrame | None = None,
+    weight: str = "n",
     max_rows: int = MAX_ROWS_PER_KEY,
+    null_safe: bool = False,
+    distinct: bool = False,
 ) -> DataFrame:
-    """``big`` joined (inner or left) to a table with few rows per key.
+    """``big`` joined (inner or left) to a table with few rows per key, in one shuffle of ``big``.
 
-    Rows of heavy keys are joined by broadcast where they are, copies of one row included. All other
-    keys, among them heavy ones beyond the broadcast bound, take an ordinary join. If no key is
-    heavy, adaptive execution drops the broadcast branch at run time.
+    ``counts`` may hold the keys with their number of rows in column ``weight``; otherwise the keys of
+    ``big`` are counted first. Copies of a row share key and part, so ``distinct`` removes repeated
+    rows of the result after the join, in the same partitioning.
     """
-    if heavy is None:
-        heavy = heavy_keys(big, keys, max_rows)
     keys = list(keys)
-    heavy = F.broadcast(heavy)
-    heavy_lookup = F.broadcast(lookup.join(heavy, keys, "left_semi"))
-    hot = big.join(heavy, keys, "left_semi").join(heavy_lookup, keys, how)
-    cold = big.join(heavy, keys, "left_anti").join(lookup, keys, how)
-    return cold.unionByName(hot)
+    known = counts if counts is not None else big.select(*keys)
+    splits = _parts(known, _bucket(keys), max_rows, weight if counts is not None else None)
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    left = (
+        big.select("*", _bucket(keys))
+        .join(splits, "_bucket", "left")
+        .withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), parts).cast("int"))
+        .drop("_bucket", "_parts")
+    )
+    right = (
+        lookup.select("*", _bucket(keys))
+        .join(splits, "_bucket", "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("_bucket", "_parts")
+    )
+    if null_safe:
+        # Hash and part alone decide the partitioning, so that distinct can use it; the keys are compared
+        # on top, in a form that Catalyst does not turn into join keys.
+        left = left.withColumn("_hash", F.xxhash64(*keys))
+        right = right.withColumn("_hash", F.xxhash64(*keys))
+        right = right.withColumnsRenamed({k: f"_other_{k}" for k in [*keys, "_part", "_hash"]})
+        same = (F.col("_part") == F.col("_other__part")) & (F.col("_hash") == F.col("_other__hash"))
+        for k in keys:
+            other = F.col(f"_other_{k}")
+            same = same & F.coalesce(F.col(k) == other, F.col(k).isNull() & other.isNull())
+        joined = left.join(right, same, how).drop(*[f"_other_{k}" for k in [*keys, "_part", "_hash"]])
+    else:
+        joined = left.join(right, [*keys, "_part"], how)
+    return (joined.dropDuplicates() if distinct else joined).drop("_part", "_hash")
 
 
 def split_blocks(
@@ -66,27 +91,20 @@ def split_blocks(
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``_part`` to both sides of a many-to-many join whose keys refine ``block`` (a long).
 
-    Rows of ``big`` are counted per hash bucket of the block, so at most ``HASH_BUCKETS`` small rows
-    are broadcast. A bucket above ``max_rows`` is split into parts by a hash of ``spread``, which
-    must differ between the rows of a block; the rows of ``small`` are repeated once per part.
-    Join on the key and ``_part``.
+    A bucket of ``big`` above ``max_rows`` is split into parts by a hash of ``spread``, which must
+    differ between the rows of a block; the rows of ``small`` are repeated once per part. Join on the
+    key and ``_part``.
     """
-    bucket = F.pmod(F.col(block), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
-    splits = F.broadcast(
-        big.groupBy(bucket)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > max_rows)
-        .select("_bucket", F.ceil(F.col("_rows") / max_rows).cast("int").alias("_parts"))
-    )
+    splits = _parts(big, _bucket([block]), max_rows)
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     split = (
-        big.select("*", bucket)
+        big.select("*", _bucket([block]))
         .join(splits, "_bucket", "left")
         .withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int"))
         .drop("_bucket", "_parts")
     )
     repeated = (
-        small.select("*", bucket)
+        small.select("*", _bucket([block]))
         .join(splits, "_bucket", "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("_bucket", "_parts")

@@ -62,8 +62,7 @@ def correct_names(
     words = names.select(
         name, F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("old_word")
     )
-    table = spelling.select("old_word", "new_word")
-    fixes = join_lookup(words, table, ["old_word"], max_rows=max_rows)
+    fixes = join_lookup(words, one_correction_each(spelling), ["old_word"], max_rows=max_rows)
     per_name = fixes.groupBy(name).agg(
         F.map_from_entries(F.collect_list(F.struct("old_word", "new_word"))).alias("_fixes")
     )
@@ -73,6 +72,15 @@ def correct_names(
     return per_name.select(name, F.lower(F.array_join(words, " ")).alias(output))
 
 
+def one_correction_each(spelling: DataFrame) -> DataFrame:
+    """``(old_word, new_word)``, one row per misspelt word: of several the best score (if there is a
+    score column), then the smaller word. Rows without either word are left out."""
+    rows = spelling.filter(F.col("old_word").isNotNull() & F.col("new_word").isNotNull())
+    order = [(-F.round("score", 9)).alias("order")] if "score" in spelling.columns else []
+    best = F.min(F.struct(*order, F.col("new_word"))).alias("best")
+    return rows.groupBy("old_word").agg(best).select("old_word", "best.new_word")
+
+
 def apply_spelling(
     df: DataFrame,
     spelling: DataFrame,
@@ -82,10 +90,12 @@ def apply_spelling(
 ) -> DataFrame:
     """Replace misspelt words in column ``name`` (into ``output`` if given); all rows are kept.
 
-    Works on distinct names and joins the changed ones back, so nothing is regrouped per row.
+    Every name is lower-cased, corrected or not; words are separated by single spaces of the name, so
+    runs of spaces stay as they are. Works on distinct names and joins the changed ones back, so
+    nothing is regrouped per row.
     """
     changed = correct_names(df.select(name).distinct(), spelling, name, "_corrected", max_rows)
     joined = join_lookup(df, changed, [name], "left", max_rows=max_rows)
-    value = F.coalesce("_corrected", name)
+    value = F.coalesce("_corrected", F.lower(name))
     columns = [value.alias(c) if c == name and not output else F.col(c) for c in df.columns]
     return joined.select(*columns, *([value.alias(output)] if output else []))

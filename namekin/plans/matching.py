@@ -7,10 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from namekin.functions.similarity import Similarity
-from namekin.operators.attach import attach_parents, distinct_rows
 from namekin.operators.cleaning import blank_nulls, clean_names, drop_incomplete
 from namekin.operators.parents import assign_parents
-from namekin.operators.skew import MAX_ROWS_PER_KEY, heavy_keys, join_lookup
+from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
 from namekin.operators.spelling import build_spelling, correct_names
 from namekin.operators.vocabulary import build_vocabulary, name_frequency
 from namekin.sources.scratch import written
@@ -18,7 +17,11 @@ from namekin.sources.scratch import written
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of the whole job. Defaults are those of the production run."""
+    """Parameters of the whole job. Defaults are those of the production run.
+
+    ``per_market=False`` finds parents over the names of all markets together and joins them by name.
+    ``spelling_similarity`` and ``parent_similarity`` stand for ``similarity`` in one step each.
+    """
 
     min_count: int = 100
     prefix: int = 3
@@ -26,76 +29,88 @@ class Settings:
     parent_threshold: float = 0.90
     rng: int = 20
     edge: str = "skip"
-    nulls: str = "drop"  # or "blank": keep records without a name as blank names
+    nulls: str = "drop"  # or "blank": keep every record, without a name as a blank name
     join_key: str = "name_market"
+    per_market: bool = True
     similarity: Similarity = Similarity()
+    spelling_similarity: Similarity | None = None
+    parent_similarity: Similarity | None = None
     cleaning: dict = field(default_factory=dict)
     max_rows_per_key: int = MAX_ROWS_PER_KEY
 
 
-def match_parents(records: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def match_parents(
+    records: DataFrame, settings: Settings = Settings(), corrections: DataFrame | None = None
+) -> DataFrame:
     """``(record_id, raw_name, name_clean, parent_name, market, score)`` for
     ``records (record_id, raw_name, market)``.
 
-    Records are scanned twice: once to count cleaned names, once to attach the result. Everything
-    between works on distinct names with their counts, which are far fewer. Only the records' final
-    projection is distinct and joined; the heaviest names are known from the counts and are joined
-    by broadcast.
+    Records are scanned twice: once to count cleaned names, once to attach the result, which shuffles
+    them once and removes copies on the way. Everything between works on distinct names with their
+    counts, which are far fewer. ``corrections`` is a correction table of an earlier run; without it
+    one is learned from these records.
     """
     s = settings
     rows = records.select("record_id", "raw_name", "market")
     if s.nulls == "drop":
         rows = drop_incomplete(rows)
     elif s.nulls == "blank":
-        rows = drop_incomplete(blank_nulls(rows, ["raw_name"]))
+        rows = blank_nulls(rows, ["raw_name"])
     else:
         raise ValueError(f"unknown null mode {s.nulls!r}")
+    if s.join_key not in ("name", "name_market"):
+        raise ValueError(f"unknown join key {s.join_key!r}")
     counted = written(
         clean_names(rows, **s.cleaning)
         .groupBy("name_clean", "market")
         .agg(F.count(F.lit(1)).alias("n")),
         "names",
     )
-    vocabulary = build_vocabulary(counted, weight="n")
-    spelling = written(
-        build_spelling(
-            vocabulary, s.min_count, s.spelling_threshold, s.prefix, s.similarity,
-            s.max_rows_per_key,
-        ),
-        "spelling",
-    )
+    if corrections is None:
+        corrections = written(
+            build_spelling(
+                build_vocabulary(counted, weight="n"), s.min_count, s.spelling_threshold, s.prefix,
+                s.spelling_similarity or s.similarity, s.max_rows_per_key,
+            ),
+            "spelling",
+        )
     changed = correct_names(
-        counted.select("name_clean").distinct(), spelling, max_rows=s.max_rows_per_key
+        counted.select("name_clean").distinct(), corrections, max_rows=s.max_rows_per_key
     )
     corrected = written(
         counted.join(changed, "name_clean", "left").withColumn(
-            "name_corrected", F.coalesce("name_corrected", "name_clean")
+            "name_corrected", F.coalesce("name_corrected", F.lower("name_clean"))
         ),
         "corrected",
     )
-    names = name_frequency(corrected, "name_corrected", weight="n")
-    parents = assign_parents(names, s.rng, s.parent_threshold, s.similarity, s.edge)
-
-    # Copies go first, so the shuffle carries no derived column and cleaning runs after it.
-    cleaned = clean_names(distinct_rows(rows), **s.cleaning)
-    if s.join_key == "name":
-        renamed = join_lookup(
-            cleaned, corrected.drop("n"), ["name_clean", "market"],
-            heavy=heavy_keys(corrected, ["name_clean", "market"], s.max_rows_per_key, "n"),
+    names = name_frequency(
+        corrected, "name_corrected", "market" if s.per_market else None, weight="n"
+    )
+    parents = written(
+        assign_parents(
+            names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge,
+            per_market=s.per_market,
+        ),
+        "parents",
+    )
+    # What the attach step looks up is worked out per distinct name: records meet one table only.
+    known = corrected.select("name_clean", "market", "name_corrected")
+    if s.per_market and s.join_key == "name_market":
+        table = parents.select(
+            F.col("name").alias("name_corrected"), F.col("market").alias("_market"), "parent_name"
         )
-        final = renamed.select(
-            "record_id", "raw_name", "market", F.col("name_corrected").alias("name_clean")
+        same = known["name_corrected"] == table["name_corrected"]
+        table = known.join(
+            table, same & known["market"].eqNullSafe(table["_market"])
+        ).drop(table["name_corrected"]).drop("_market")
+    else:
+        table = known.join(
+            parents.select(F.col("name").alias("name_corrected"), "parent_name").distinct(),
+            "name_corrected",
         )
-        by_name = corrected.select(F.col("name_corrected").alias("name_clean"), "n")
-        heavy = heavy_keys(by_name, ["name_clean"], s.max_rows_per_key, "n")
-        return attach_parents(final, parents, "name", heavy=heavy)
-    by_clean_name = corrected.join(
-        parents.select(F.col("name").alias("name_corrected"), "market", "parent_name"),
-        ["name_corrected", "market"],
-    )
     joined = join_lookup(
-        cleaned, by_clean_name.drop("n"), ["name_clean", "market"],
-        heavy=heavy_keys(counted, ["name_clean", "market"], s.max_rows_per_key, "n"),
+        clean_names(rows, **s.cleaning), table, ["name_clean", "market"],
+        counts=counted, max_rows=s.max_rows_per_key, null_safe=True, distinct=True,
     )
     return joined.select(
         "record_id", "raw_name", F.col("name_corrected").alias("name_clean"),

@@ -1,14 +1,16 @@
 """Readers and writers: catalog tables, CSV with header, headerless delimited text, parquet.
 
-Text files keep blanks and nulls apart: a blank is written quoted, a null as ``\\N``.
+Text files keep blanks and nulls apart: a blank is written quoted, a null as ``\\N``. A line break in a
+value is written as ``\\n`` or ``\\r`` and a backslash doubled, so every row is one line and large files
+can be split; the readers here undo it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from namekin.operators.cleaning import in_trailing_window
 
@@ -35,11 +37,34 @@ def read_records(
     return rows.filter(F.col("market").isin(list(markets))) if markets is not None else rows
 
 
+def _escaped(value: Column) -> Column:
+    for plain, code in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        value = F.replace(value, F.lit(plain), F.lit(code))
+    return value
+
+
+def _restored(value: Column) -> Column:
+    """Undo ``_escaped``: between doubled backslashes a backslash can only begin a line break."""
+    def part(text):
+        return F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    whole = F.array_join(F.transform(F.split(value, "\\\\\\\\"), part), "\\")
+    return F.when(F.contains(value, F.lit("\\")), whole).otherwise(value)
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    kinds = {f.name: f.dataType for f in df.schema}
+    return df.select(*[
+        change(F.col(f"`{c}`")).alias(c) if isinstance(kinds[c], StringType) else F.col(f"`{c}`")
+        for c in df.columns
+    ])
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str | StructType, limit: int | None = None
 ) -> DataFrame:
     """CSV with a header line; ``limit`` takes the first rows only, for a preview."""
-    rows = spark.read.schema(schema).options(**_READ, header=True).csv(path)
+    rows = _texts(spark.read.schema(schema).options(**_READ, header=True).csv(path), _restored)
     return rows.limit(limit) if limit is not None else rows
 
 
@@ -47,12 +72,12 @@ def read_delimited(
     spark: SparkSession, path: str, schema: str | StructType, separator: str = "\t"
 ) -> DataFrame:
     """Headerless delimited text; all files of a folder."""
-    return spark.read.schema(schema).options(**_READ, sep=separator).csv(path)
+    return _texts(spark.read.schema(schema).options(**_READ, sep=separator).csv(path), _restored)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header line, replacing what is there."""
-    df.write.mode("overwrite").options(**_WRITE, header=True).csv(path)
+    _texts(df, _escaped).write.mode("overwrite").options(**_WRITE, header=True).csv(path)
 
 
 def write_delimited(
@@ -62,7 +87,8 @@ def write_delimited(
 
     ``single_file`` sends all rows through one task; it is meant for small results only.
     """
-    out = df.coalesce(1) if single_file else df
+    rows = _texts(df, _escaped)
+    out = rows.coalesce(1) if single_file else rows
     out.write.mode("overwrite").options(**_WRITE, sep=separator).csv(path)
 
 
