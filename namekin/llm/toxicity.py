@@ -2,13 +2,15 @@
 
 1. Features of a word are the word and its first 3 to 6 characters. Their log-odds between toxic and
    other labelled documents use document counts and a Dirichlet prior in proportion to the feature's
-   overall share; only clearly positive lower bounds enter the model.
-2. A word scores its strongest feature, any other word a small loss. One linear scan (Ruzzo and
-   Tompa) finds all maximal segments of a text.
+   overall share. Features whose lower bound is high enter the model with that bound, features whose
+   upper bound is low as harmless; what is between says nothing.
+2. A word scores its most specific feature in the model (the word, then ever shorter beginnings);
+   harmless and unknown words score a small loss. One linear scan (Ruzzo and Tompa) finds all maximal
+   segments of a text.
 3. Segments are calibrated by extreme values: with losses on average, the best segment of a clean text
    of n words exceeds x with about ``1 - exp(-K n exp(-lambda x))``. The evidence of a document is
-   ``-ln P`` of its segments together; a logistic curve fitted on the training labels turns it
-   into the score.
+   ``-ln P`` of its segments together; a logistic curve over its
+   logarithm, fitted on the training labels, turns it into the score.
 
 The model is bounded: every feature must stand in a stated share of the toxic training documents. It
 is fitted on at most ``TRAIN_ROWS`` labelled rows, the smallest by a hash of the id.
@@ -42,6 +44,8 @@ PREFIXES = (3, 4, 5, 6)
 MIN_SHARE, MIN_DOCS = 0.005, 3
 PRIOR = 10.0
 MIN_Z = 2.8
+#: Log-odds that a lower bound must reach, and an upper bound stay below.
+MIN_WEIGHT = 2.0
 LOSS = 0.5
 THRESHOLD = 0.7
 
@@ -65,7 +69,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     char = np.searchsorted(heads, starts)
     for k, size in enumerate(PREFIXES):
         stop = heads[np.minimum(char + size, len(heads) - 1)]
-        whole = stop <= ends
+        whole = stop < ends
         hashed = hash_words(data, starts, np.minimum(stop, ends), lower=True)
         out[whole, 1 + k] = mixed(hashed[whole] + np.uint64(size))
     return out, before
@@ -120,14 +124,14 @@ class Model:
     def word_scores(self, found: np.ndarray) -> np.ndarray:
         scores = np.full(len(found), -LOSS)
         if len(self.values):
-            maybe = np.zeros(1 << 16, bool)
-            maybe[(self.values >> np.uint64(48)).astype(np.int64)] = True
-            for column in found.T:
-                rows = np.flatnonzero(maybe[(column >> np.uint64(48)).astype(np.int64)])
+            maybe = np.zeros(1 << 20, bool)
+            maybe[(self.values >> np.uint64(44)).astype(np.int64)] = True
+            for k in (*range(1, found.shape[1]), 0):  # longer beginnings overrule shorter ones
+                column = found[:, k]
+                rows = np.flatnonzero(maybe[(column >> np.uint64(44)).astype(np.int64)])
                 at = np.minimum(np.searchsorted(self.values, column[rows]), len(self.values) - 1)
                 same = self.values[at] == column[rows]
-                rows, at = rows[same], at[same]
-                scores[rows] = np.maximum(scores[rows], self.weights[at])
+                scores[rows[same]] = self.weights[at[same]]
         return scores
 
     def evidence(self, segments: list[tuple[int, int, float]], n: int) -> float:
@@ -148,7 +152,8 @@ class Model:
     def score(self, evidence: float) -> float:
         if self.intercept == -math.inf:
             return 0.0
-        return 1 / (1 + math.exp(-min(max(self.slope * evidence + self.intercept, -50.0), 50.0)))
+        x = self.slope * math.log1p(evidence) + self.intercept
+        return 1 / (1 + math.exp(-min(max(x, -50.0), 50.0)))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -206,11 +211,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     counts = feature_counts(training, only).toPandas()
     toxic, other = counts["toxic"].to_numpy(float), counts["other"].to_numpy(float)
     delta, spread = _log_odds(toxic, other, n_toxic, n_other)
-    good = (delta / spread >= MIN_Z) & (delta > math.log(3))
-    values = counts["feature"].to_numpy(np.int64).view(np.uint64)[good]
+    good = (delta / spread >= MIN_Z) & (delta - spread >= MIN_WEIGHT)
+    known = good | (delta + spread < MIN_WEIGHT)
+    values = counts["feature"].to_numpy(np.int64).view(np.uint64)[known]
     order = np.argsort(values)
-    model = Model(values[order], np.maximum(delta - spread, LOSS)[good][order])
-    if not len(model.values):
+    model = Model(values[order], np.where(good, delta - spread, -LOSS)[known][order])
+    if not good.any():
         return model
     return _calibrated(model, training)
 
@@ -236,7 +242,7 @@ def _calibrated(model: Model, training: DataFrame) -> Model:
     clean = table[table["toxic"] == 0]
     words = int(clean["n"].sum()) + 1
     share = (int(clean["n_positive"].sum()) + 1) / words
-    gain = float(np.median(model.weights))
+    gain = float(np.median(model.weights[model.weights > 0]))
     # lambda: the positive root of  share * exp(gain x) + (1 - share) * exp(-LOSS x) = 1
     low, high = 1e-6, 50.0
     for _ in range(100):
@@ -249,7 +255,7 @@ def _calibrated(model: Model, training: DataFrame) -> Model:
     x = np.array([
         model.evidence([(0, 0, s) for s in row], n) for row, n in zip(table["segments"], table["n"])
     ])
-    model.slope, model.intercept = _logistic(x, table["toxic"].to_numpy(float))
+    model.slope, model.intercept = _logistic(np.log1p(x), table["toxic"].to_numpy(float))
     return model
 
 
