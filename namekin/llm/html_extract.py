@@ -172,8 +172,9 @@ def labelled_pages(sample: list[str]) -> list[tuple[list[list[int]], list[int]]]
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> Crf:
     """A model trained on the skeletons and at most ``rows`` pages."""
-    held = pages.select("html").filter(F.length("html") > 0)
-    sample = held.orderBy(F.xxhash64("html"), "html").limit(rows)
+    hashed = pages.select("html", F.xxhash64("html").alias("h")).filter(F.length("html") > 0)
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(rows).collect()]
+    sample = hashed.filter(F.col("h") <= (least[-1] if least else 0)).select("html").distinct().orderBy("html")
     return train(labelled_pages([r["html"] for r in sample.collect()]))
 
 
