@@ -19,7 +19,10 @@ from pyspark.sql import Column, functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SLACK = 1e-9
-_MATRIX_WIDTH = 64  # longer strings are matched one pair at a time in linear time
+_MATRIX_WIDTH = 64
+# Strings up to this length are matched many pairs at a time. The work of that grows with the square of
+# the length; beyond, matching a pair by itself takes less time, as it is linear in the length.
+_BATCH_WIDTH = 512
 _CHUNK_CELLS = 1 << 18
 
 
@@ -146,7 +149,17 @@ def _score(
     if budget is not None and len(long):
         shared = _shared_characters([left[r] for r in long], [right[r] for r in long])
         long = long[2 - shared / len1[long] - shared / len2[long] <= budget + _SLACK]
-    for row in long:
+    width = 2 * _MATRIX_WIDTH
+    while width <= _BATCH_WIDTH:
+        rows_of_width = long[(longest[long] <= width) & (longest[long] > width // 2)]
+        size = max(1, _CHUNK_CELLS // width)
+        for start in range(0, len(rows_of_width), size):
+            rows = rows_of_width[start : start + size]
+            matches[rows], swaps[rows] = _match_wide(
+                [left[r] for r in rows], [right[r] for r in rows], len1[rows], len2[rows], spec.variant
+            )
+        width *= 2
+    for row in long[longest[long] > _BATCH_WIDTH]:
         matches[row], swaps[row] = _match_long(left[row], right[row], spec.variant)
 
     some = matches > 0
@@ -226,12 +239,46 @@ def _match_matrix(left, right, len1, len2, variant):
         free ^= nearest
         used1[:, i] = nearest != 0
     used2 = np.unpackbits((last ^ free)[:, None].view(np.uint8), axis=1, bitorder="little")
+    return _weighed(a, b, used1, used2, len1, variant)
+
+
+def _weighed(a, b, used1, used2, len1, variant):
+    """Matches and out-of-order weight per pair from the matched places of both sides."""
     # Row-major order lines up the k-th match of either side, as both have equally many per row.
-    row, at1 = np.divmod(np.flatnonzero(used1), w1)
+    row, at1 = np.divmod(np.flatnonzero(used1), used1.shape[1])
     chars1, chars2 = a[used1], b[used2.astype(bool)]
     differ = np.flatnonzero(chars1 != chars2)
     weight = 0.5 ** (len1[row[differ]] - at1[differ]) if variant == "notebook" else None
-    return used1.sum(axis=1), np.bincount(row[differ], weights=weight, minlength=n)
+    return used1.sum(axis=1), np.bincount(row[differ], weights=weight, minlength=len(a))
+
+
+def _match_wide(left, right, len1, len2, variant):
+    """The same with several 64-bit integers per pair, for longer strings."""
+    n, w1 = len(left), int(len1.max())
+    words = (int(len2.max()) + 63) // 64
+    a, b = _codes(left, w1), _codes(right, 64 * words)
+    rows, everything = np.arange(n), ~np.uint64(0)
+
+    def lowest(count):
+        """The lowest ``count`` bits of every row."""
+        inside = np.clip(count[:, None] - 64 * np.arange(words), 0, 64)
+        return np.where(inside > 0, everything >> (64 - np.maximum(inside, 1)).astype(np.uint64), np.uint64(0))
+
+    last = lowest(len2)
+    reach = np.maximum(np.maximum(len1, len2) // 2 - 1, 0)
+    free = last.copy()
+    used1 = np.zeros((n, w1), bool)
+    for i in range(w1):
+        same = np.packbits(b == a[:, i, None], axis=1, bitorder="little").view(np.uint64)
+        hits = same & free & lowest(i + reach + 1) & ~lowest(i - reach)
+        hits[len1 <= i] = 0
+        first = (hits != 0).argmax(axis=1)  # the word with the leftmost free match, if there is any
+        nearest = hits[rows, first]
+        nearest &= ~nearest + np.uint64(1)
+        free[rows, first] ^= nearest
+        used1[:, i] = nearest != 0
+    used2 = np.unpackbits((last ^ free).view(np.uint8), axis=1, bitorder="little")
+    return _weighed(a, b, used1, used2, len1, variant)
 
 
 def _match_long(a: str, b: str, variant: str) -> tuple[int, float]:

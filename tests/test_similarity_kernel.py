@@ -46,6 +46,20 @@ def test_batch_scores_equal_plain_rule(spec, options, longest):
     np.testing.assert_allclose(got, want, rtol=0, atol=1e-12)
 
 
+@pytest.mark.parametrize("spec,options", SPECS)
+@pytest.mark.parametrize("longest", [65, 128, 500, 2000, 2300])
+def test_long_strings_equal_plain_rule(spec, options, longest):
+    rnd = random.Random(longest)
+    pairs = random_pairs(12, longest, seed=longest)
+    for size in (longest - 1, longest, min(longest, 64)):
+        text = "".join(rnd.choice("abcdefgh é漢") for _ in range(longest))
+        pairs.append((text, text[: size // 2] + "".join(rnd.sample(text[size // 2 : size], size - size // 2))))
+        pairs.append((text[:size], text[::-1]))
+    got = spec.score([a for a, _ in pairs], [b for _, b in pairs])
+    want = [jaro_winkler(a, b, **options) for a, b in pairs]
+    np.testing.assert_allclose(got, want, rtol=0, atol=1e-12)
+
+
 def test_known_values():
     pairs = [("abcdef", "abcdefgh"), ("abcde", "abcdefghij"), ("abc", "abd"), ("", ""), ("a", "a")]
     got = Similarity().score(*map(list, zip(*pairs)))
