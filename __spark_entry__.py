@@ -521,6 +521,16 @@ def _name_sql() -> dict[str, str]:
         FROM customer LEFT JOIN orders ON c_custkey = o_custkey"""
     recent = f"""{sql.RECORDS} WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
         AND o_orderdate >= DATE '{DAY}' - INTERVAL 12 MONTH"""
+    notebook_chain = f"""pos AS ({sql.positions("names")}), frame AS ({sql.frames("pos", 20)}),
+            best AS (SELECT market, pos, arg_max(other_pos, other_freq) AS target_pos,
+                arg_max(other_name, other_freq) AS target_name
+                FROM ({notebook_rows}) WHERE round(score, 9) >= 0.95 GROUP BY ALL),
+            chain(pos, target_pos, target_name, hop, ended) AS (
+                SELECT pos, target_pos, target_name, 1, target_pos > pos FROM best
+                UNION ALL
+                SELECT c.pos, b.target_pos, b.target_name, c.hop + 1, b.target_pos > b.pos
+                FROM chain c JOIN best b ON b.pos = c.target_pos WHERE NOT c.ended),
+            final_targets AS (SELECT pos, arg_max(target_name, hop) AS target_name FROM chain GROUP BY ALL)"""
     fixes = f"{vocab}, fixes AS ({sql.spelling('vocab')})"
 
     return {
@@ -570,19 +580,14 @@ def _name_sql() -> dict[str, str]:
         "parents_by_market": parents_sql(record_names_),
         "parents_by_lang": parents_sql(word_names_),
         "parents_to_the_edge": parents_sql(record_names_, edge="partial"),
-        "parents_global_notebook": f"""WITH RECURSIVE {words_}, {global_names},
-            pos AS ({sql.positions("names")}), frame AS ({sql.frames("pos", 20)}),
-            best AS (SELECT market, pos, arg_max(other_pos, other_freq) AS target_pos,
-                arg_max(other_name, other_freq) AS target_name
-                FROM ({notebook_rows}) WHERE round(score, 9) >= 0.95 GROUP BY ALL),
-            chain(pos, target_pos, target_name, hop, ended) AS (
-                SELECT pos, target_pos, target_name, 1, target_pos > pos FROM best
-                UNION ALL
-                SELECT c.pos, b.target_pos, b.target_name, c.hop + 1, b.target_pos > b.pos
-                FROM chain c JOIN best b ON b.pos = c.target_pos WHERE NOT c.ended)
+        "parents_global_notebook": f"""WITH RECURSIVE {words_}, {global_names}, {notebook_chain}
             SELECT p.name, p.freq, coalesce(l.target_name, p.name) AS parent_name FROM pos p
-            LEFT JOIN (SELECT pos, arg_max(target_name, hop) AS target_name FROM chain GROUP BY ALL) l
-            ON l.pos = p.pos""",
+            LEFT JOIN final_targets l ON l.pos = p.pos""",
+        "matched_records_notebook": f"""WITH RECURSIVE rows AS ({sql.clean(f"""SELECT
+                CAST(o_orderkey AS VARCHAR) AS record_id, c_name AS raw_name, c_mktsegment AS market FROM ({left_customers})""")}),
+            names AS (SELECT name_clean AS name, '' AS market, count(*) AS freq FROM rows GROUP BY name_clean), {notebook_chain}
+            SELECT DISTINCT record_id, raw_name, name_clean, coalesce(l.target_name, name_clean) AS parent_name,
+                r.market, 1 AS score FROM rows r LEFT JOIN pos p ON p.name = name_clean LEFT JOIN final_targets l ON l.pos = p.pos""",
         "records_with_parents": attached(record_names_, clean_records, "name_market"),
         "records_with_parents_name_only": attached(record_names_, clean_records, "name"),
         "sentences_with_parents_name_only": attached(sentence_names_, clean_sentences, "name"),

@@ -153,6 +153,3 @@ TOKEN_EXPANSIONS = {
     "chemical": "chemicals",
     "zimmermann": "zimmerman",
 }
-
-# Currency codes of the production markets.
-DEFAULT_MARKETS = ["SGD", "CAD", "HKD", "AUD", "MXN"]

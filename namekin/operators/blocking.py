@@ -69,7 +69,7 @@ def candidate_pairs(
         big = _by_class(big.withColumn("_classes", F.explode(counts)), rw, prefix)
 
     same_prefix = prefix_key(lw, prefix) == prefix_key(rw, prefix)
-    pairs = big.join(small.hint("merge"), ["_key", "_part"])
+    pairs = big.join(small, ["_key", "_part"])
     return pairs.filter(same_prefix & similarity.lengths_fit(lw, rw, threshold)).select(
         *left.columns, *right.columns
     )
