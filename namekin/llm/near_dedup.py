@@ -9,8 +9,11 @@ similarity as probability, and the register-wise maximum is the sketch of the un
 2. Bands of register values are hashed to buckets. Within a bucket every member is compared with the
    smallest id there, so a bucket of any size gives one pair per member.
 3. Pairs are first estimated by joint likelihood of their registers, then confirmed on the full sets.
-4. Confirmed links give components. Buckets that still hold several components are compared once more,
-   across components only, so no link is lost to the choice of step 2.
+4. Confirmed links give components. The members compared with one document form its group. Groups that
+   still hold several components are compared once more, across components only, so no link is lost
+   to the choice of step 2. In a large group a member is described by its difference to that document;
+   two members can only be linked if enough of their differences are shared by somebody in the group,
+   which leaves few pairs (exact, see ``_may_be_linked``).
 
 At similarity 0.8 a pair shares no band with probability ``(1 - 0.8**8)**80``, about 4e-7.
 
@@ -45,6 +48,10 @@ ESTIMATE_REGISTERS = 128
 BASE, RATE, TOP = 1.001, 20.0, 65534
 #: Pairs estimated this far below the threshold (six standard deviations) are not confirmed.
 MARGIN = 0.22
+#: Members of a group up to which all pairs across components are compared without looking at texts.
+SMALL_GROUP = 8
+#: Cells of the bit map of a difference, 64 per column.
+MAPS = 8
 #: Largest set of ids that is broadcast to pick texts.
 BROADCAST_IDS = 1_000_000
 
@@ -180,16 +187,19 @@ def _estimated(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(estimate, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough. ``pairs`` should be a written table."""
+def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(a, b, t_a, t_b)`` for a written table of pairs ``(a, b)``."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
     wanted = small_enough(written(wanted, "wanted"), BROADCAST_IDS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         wanted, "doc_id", "left_semi"
     )
     side = lambda s: texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"t_{s}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b")
+
 
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose full sets are similar enough. ``pairs`` should be a written table."""
     def confirm(batches):
         for whole in batches:
             for batch in slices(whole, "t_b"):
@@ -200,7 +210,82 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 ]
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return joined.select("a", "b", "t_a", "t_b").mapInArrow(confirm, "a long, b long").distinct()
+    return _with_texts(pairs, docs).mapInArrow(confirm, "a long, b long").distinct()
+
+
+def differences(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(a, b, n, diff)``: size of the set of b, and the shingles that only one of a and b holds."""
+    def differ(batches):
+        for whole in batches:
+            for batch in slices(whole, "t_b"):
+                sets = list(zip(shingle_sets(batch.column("t_a")), shingle_sets(batch.column("t_b"))))
+                diff = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in sets]
+                ends = np.cumsum([0, *map(len, diff)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("a"), batch.column("b"), pa.array([len(y) for _, y in sets], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(diff))),
+                    ],
+                    names=["a", "b", "n", "diff"],
+                )
+
+    return _with_texts(pairs, docs).mapInArrow(differ, "a long, b long, n long, diff array<long>")
+
+
+def _may_be_linked() -> str:
+    """Condition on two members x, y of one group, of sizes n, with d elements in their differences to
+    the group's document, s of them in the difference of another member too.
+
+    A link means at most ``(n_x + n_y) (100 - PERCENT) / (100 + PERCENT)`` elements in only one of the
+    sets. The sets differ in ``d_x + d_y`` elements less twice those that both differences hold. These
+    are at most the smaller s, and at most the cells that both bit maps have, plus the smaller number
+    of elements that share a cell with others.
+    """
+    cells = " + ".join(f"bit_count(x.m{k} & y.m{k})" for k in range(MAPS))
+    both = f"least(x.s, y.s, {cells} + least(x.s - x.cells, y.s - y.cells))"
+    far = f"(x.n + y.n) * {100 - PERCENT}"
+    return f"(x.d + y.d - 2 * {both}) * {100 + PERCENT} <= {far}"
+
+
+def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share a group of ``stars (a, b)``."""
+    of = found.select(F.col("node").alias("b"), F.col("component"))
+    members = stars.join(of, "b", "left").withColumn("c", F.coalesce("component", "b")).drop("component")
+    top = found.select(F.col("node").alias("a"), F.col("component").alias("top"))
+    sizes = members.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("low"), F.max("c").alias("high"))
+    sizes = sizes.filter("size > 1 AND low < high")
+    members = written(
+        members.join(sizes.select("a", "size"), "a").join(top, "a", "left")
+        .withColumn("top", F.coalesce("top", "a")), "groups"
+    )
+    small, large = members.filter(F.col("size") <= SMALL_GROUP), members.filter(F.col("size") > SMALL_GROUP)
+
+    diffs = written(differences(written(large.select("a", "b"), "group-pairs"), docs), "differences")
+    parts = diffs.select("a", "b", F.explode("diff").alias("e"))
+    shared = parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "e")
+    cell = F.pmod(F.col("e"), F.lit(64 * MAPS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 64).cast("int"))
+    maps = [
+        F.bit_or(F.when(F.floor(cell / 64) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{k}")
+        for k in range(MAPS)
+    ]
+    shared = parts.join(shared, ["a", "e"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("s"), *maps)
+    described = diffs.select("a", "b", "n", F.size("diff").cast("long").alias("d")).join(
+        shared, ["a", "b"], "left"
+    ).na.fill(0)
+    filled = sum((F.bit_count(f"m{k}") for k in range(MAPS)), F.lit(0))
+    large = written(
+        large.join(described, ["a", "b"]).withColumn("cells", filled).distinct(), "described"
+    )
+
+    def across(rows, condition):
+        # x is not linked to the group's document; with both linked they would be one component
+        x, y = rows.filter("c <> top").alias("x"), rows.alias("y")
+        other = F.expr("x.a = y.a AND x.c <> y.c AND (y.c = y.top OR x.b < y.b)")
+        joined = x.join(y, other & F.expr(condition))
+        return joined.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
+
+    return across(small, "true").union(across(large, _may_be_linked())).distinct()
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
@@ -263,25 +348,14 @@ def classes(docs: DataFrame) -> DataFrame:
     shared = keyed.groupBy("key").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
     ).filter("low < high").select("key", "low")
-    crowded = written(keyed.join(shared, "key").distinct(), "buckets")
-    stars = crowded.filter("doc_id > low").select(F.col("low").alias("a"), F.col("doc_id").alias("b"))
-    links = written(confirmed(written(_estimated(stars.distinct(), members), "pairs"), docs), "confirmed")
+    crowded = keyed.join(shared, "key").filter("doc_id > low")
+    stars = written(crowded.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
+    links = written(confirmed(written(_estimated(stars, members), "pairs"), docs), "confirmed")
     # A document with several rows has several sets; they are one node.
     same = equal.filter("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
 
     found = written(components(links), "components")
-    label = F.coalesce("component", "doc_id").alias("c")
-    placed = crowded.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "low", "doc_id", label)
-    mixed_keys = placed.groupBy("key").agg(F.min("c").alias("c_min"), F.max("c").alias("c_max"))
-    mixed_keys = mixed_keys.filter("c_min < c_max").select("key")
-    placed = written(placed.join(mixed_keys, "key", "left_semi"), "mixed-buckets")
-    tops = placed.filter("doc_id = low").select("key", F.col("c").alias("top")).distinct()
-    apart = placed.join(tops, "key")
-    minor = apart.filter("c <> top").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    across = minor.join(apart, "key").filter("c <> cx AND doc_id <> low AND (c = top OR doc_id < x)")
-    across = across.select(
-        F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")
-    ).distinct().join(stars.distinct(), ["a", "b"], "left_anti")
+    across = _pairs_across(stars, found, docs).join(stars, ["a", "b"], "left_anti")
     more = confirmed(written(_estimated(across, members), "pairs"), docs)
     final = written(components(links.union(more).union(same)), "components")
 

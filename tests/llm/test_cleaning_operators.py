@@ -70,7 +70,9 @@ def test_licences_of_nothing(no_docs):
     assert license_scan.scan(no_docs, ["doc_id"]).count() == 0
 
 
-def test_near_duplicates(odd, no_docs):
+@pytest.mark.parametrize("small_group", [64, 2])
+def test_near_duplicates(odd, monkeypatch, small_group):
+    monkeypatch.setattr(near_dedup, "SMALL_GROUP", small_group)
     want = plain.near_classes(odd_rows())
     got = near_dedup.classes(odd).collect()
     assert len(got) == len(odd_rows())
@@ -82,6 +84,9 @@ def test_near_duplicates(odd, no_docs):
             assert r["kept"] == (r["component_id"] == r["doc_id"])
     sizes = sorted(len(plain.shingles(t)) for _, t in odd_rows())
     assert sorted(r["n_shingles"] for r in got) == sizes
+
+
+def test_no_near_duplicates_of_nothing(no_docs):
     assert near_dedup.classes(no_docs).count() == 0
 
 
@@ -93,8 +98,10 @@ def test_keep_one(odd):
     assert {i for i in ids if i is not None} == {i for i in want if want[i] == i}
 
 
-def test_links_that_only_a_second_look_finds(spark):
+@pytest.mark.parametrize("small_group", [64, 2])
+def test_links_that_only_a_second_look_finds(spark, monkeypatch, small_group):
     """A chain: each text is near the next, the ends are not near each other."""
+    monkeypatch.setattr(near_dedup, "SMALL_GROUP", small_group)
     words = prose(50, 200).split()
     rows = []
     for k in range(12):
