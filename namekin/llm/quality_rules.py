@@ -137,4 +137,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their own columns only."""
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     judged = judge(docs.select(whole_row, F.col("text")), ["_row"], "text", rules)
-    return judged.filter("kept").select("_row.*")
+    # A filter is not moved below a column that depends on the row's place: moved into the scan, it would
+    # hold every measure many times over.
+    judged = judged.withColumn("_place", F.monotonically_increasing_id())
+    return judged.filter("kept AND _place >= 0").select("_row.*")
