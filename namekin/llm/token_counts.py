@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from namekin.llm import tokenizers
 from namekin.llm.words import slices
+from namekin.sources.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -52,9 +53,10 @@ def length_table(lengths: DataFrame) -> DataFrame:
     """Per length L that occurs: documents and tokens of length L or more, the total if every document
     is cut at L (``truncated_total``), and the share of documents of length L or less (``quantile``).
 
-    Sums run within buckets of lengths and over bucket totals, so no task holds all lengths.
+    Sums run within buckets of lengths and over bucket totals, so no task holds all lengths. The
+    histogram is written first: it is read twice, and encoding the texts twice would cost far more.
     """
-    rows = lengths.select(
+    rows = written(lengths, "lengths").select(
         "n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
         F.floor(F.col("n_tokens") / BUCKET).alias("bucket"),
     )
