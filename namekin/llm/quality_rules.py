@@ -123,21 +123,21 @@ def judge(
     docs: DataFrame, keep: list[str], text: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """``keep``, the counts, ``base_failed``, ``failed_rules`` (comma-joined) and ``kept``."""
-    rows = measured(docs, keep, text)
+    # A filter on the verdict is not moved below a column that depends on the row's place: moved into
+    # the scan, it would hold every measure many times over.
+    rows = measured(docs, keep, text).withColumn("_place", F.monotonically_increasing_id())
     base = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
+    base = base & (F.col("_place") >= 0)
     failed = F.concat_ws(",", *[F.when(_fails(r), F.lit(r.name)) for r in rules])
     return rows.withColumns({"base_failed": base, "failed_rules": failed}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("failed_rules") == "")
-    )
+    ).drop("_place")
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with their own columns only."""
     whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     judged = judge(docs.select(whole_row, F.col("text")), ["_row"], "text", rules)
-    # A filter is not moved below a column that depends on the row's place: moved into the scan, it would
-    # hold every measure many times over.
-    judged = judged.withColumn("_place", F.monotonically_increasing_id())
-    return judged.filter("kept AND _place >= 0").select("_row.*")
+    return judged.filter("kept").select("_row.*")

@@ -40,6 +40,14 @@ def test_quality_runs_no_python_and_no_shuffle(odd):
     assert plan.count("Exchange") == 1  # that of the fixture
 
 
+def test_filter_on_the_verdict_of_a_parquet_table(spark, odd, tmp_path):
+    odd.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    judged = quality_rules.judge(docs, ["doc_id"])
+    assert judged.filter("kept").count() + judged.filter("NOT kept").count() == len(odd_rows())
+    assert quality_rules.keep_good(docs).count() == judged.filter("kept").count()
+
+
 LICENSED = [
     (1, "Released under the MIT License."), (2, "apache license, version 2.0 and Apache-License version 2"),
     (3, "CC BY-NC cc by nc"), (4, "This work is licensed under the GNU General Public License, version 3."),
