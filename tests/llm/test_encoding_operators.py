@@ -36,6 +36,33 @@ def test_blocks():
     assert html_blocks.blocks("plain text")[0].text == "plain text"
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<article><p>a</p><svg/><p>b</p></article>", ["a", "b"]),
+    ("<p>a</p><svg viewBox='0 0 1 1' /><p>b</p><svg><path d='x'/></svg><p>c</p>", ["a", "b", "c"]),
+    ("<p>a</p><svg><svg/><style/><title>no</title><text>axis <tspan>x</tspan></text></svg><p>b</p>", ["a", "axis x", "b"]),
+    ("<p>a</p><svg width=5/><p>b</p><svg><circle><p>c</p><div/>d", ["a", "b", "c", "d"]),
+    ("<p>so <math/> if <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math>, it holds</p>", ["so if x = 1 2, it holds"]),
+    ("<p>(<math><semantics><mi>x</mi><annotation>no</annotation></semantics></math>)</p><p>b</p>", ["(x)", "b"]),
+    ("<math><mtext><![CDATA[a<b &amp;]]></mtext></math><p>c</p>", ["a<b &amp;", "c"]),
+    ("<object data=x><p>a</p></object><xmp>b <b> &amp; c</xmp>d", ["a", "b <b> &amp; c", "d"]),
+    ("<textarea>a <p> &amp; b</textarea><select><option>c<option>d</select>e", ["a <p> & b", "c", "d", "e"]),
+    ("<video>a</video><audio>b</audio><canvas>c</canvas><iframe>d</iframe><noframes><p>e</p></noframes>f", list("abcdef")),
+    ("<p title=don't>a</p><p>it's b</p>", ["a", "it's b"]),
+    ("<p \"odd>a</p><p>\"b\"</p><p title=\"x>y\" id = 'p>q'>c</p><p a==\"x>d", ["a", '"b"', "c", "d"]),
+    ("<p title=\"a>b</p><p>c", ["b", "c"]),
+    ("<!-->a<!--->b<!-- no --!>c<p>d <![CDATA[e", ["abc", "d"]),
+    ("<template-box>a</template-box><template><template></template>no</template>b<title>no</title-x></title>c", ["a", "b", "c"]),
+])
+def test_blocks_lose_no_text(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
+def test_main_text_after_an_empty_drawing(crf):
+    page = "<article><p>{}</p><svg/><p title=don't>{}</p><math><mi>x</mi></math></article><footer>it's</footer>"
+    p, q = prose(1, 40) + ".", prose(2, 40) + "."
+    assert html_extract.main_text(page.format(p, q), crf) == f"{p} {q} x"
+
+
 LAYOUTS = [
     ("<body><nav>{m}</nav><article><h1>{h}</h1><p>{p}</p><p>{q}</p></article><footer>{m}</footer></body>"),
     ("<body><div class='menu'>{m}</div><main><h1>{h}</h1><p>{p}</p><div>{q}</div></main><aside><p>{x}</p></aside></body>"),
