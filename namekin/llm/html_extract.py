@@ -31,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Largest sample of pages that is used for training, the smallest by a hash of the page.
 TRAIN_PAGES = 200
+#: Blocks of one training sequence; a longer page gives several, so that a step takes bounded time in a row.
+STRETCH = 200
 FEATURES = 1 << 14
 STEPS = 150
 PULL = 1e-3
@@ -88,24 +90,41 @@ class Crf:
         return out[::-1]
 
 
-def _marginals(scores: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of label 1 per block, and expected label pairs, by forward and backward sums."""
-    n = len(scores)
-    unary = np.stack([np.zeros(n), scores], axis=1)
-    forward, backward = np.zeros((n, 2)), np.zeros((n, 2))
-    forward[0] = unary[0]
-    for i in range(1, n):
-        x = forward[i - 1][:, None] + pairs
-        forward[i] = unary[i] + np.logaddexp(x[0], x[1])
-    for i in range(n - 2, -1, -1):
-        x = pairs + (unary[i + 1] + backward[i + 1])[None, :]
-        backward[i] = np.logaddexp(x[:, 0], x[:, 1])
-    total = np.logaddexp(*forward[-1])
-    single = np.exp(forward + backward - total)[:, 1]
-    double = np.zeros((2, 2))
-    for i in range(n - 1):
-        double += np.exp(forward[i][:, None] + pairs + (unary[i + 1] + backward[i + 1])[None, :] - total)
-    return single, double
+class _Packed:
+    """Rows of sequences (blocks of pages), position by position: all first ones, then all second ones, and
+    so on, the longest sequence first, so that a position is one stretch and one step for all sequences."""
+
+    def __init__(self, lengths: list[int]):
+        self.order = np.argsort([-n for n in lengths], kind="stable")
+        lengths = np.array(lengths, np.int64)[self.order]
+        #: Sequences that have each position, and its first row.
+        self.width = np.array([np.searchsorted(-lengths, -i, "left") for i in range(lengths[0])] if len(lengths) else [], np.int64)
+        self.start = np.cumsum([0, *self.width])
+        self.sequence = np.concatenate([np.arange(n) for n in self.width]) if len(lengths) else np.zeros(0, np.int64)
+        self.last = self.start[lengths - 1] + np.arange(len(lengths))
+        self.later = np.arange(len(lengths), len(self.sequence))
+        self.before = self.start[np.repeat(np.arange(len(self.width)), self.width)[self.later] - 1] + self.sequence[self.later]
+
+    def rows(self, k: int) -> list[int]:
+        """Row numbers of the sequence that was given as the ``k``-th in ``order``."""
+        return (self.start[:-1][self.width > k] + k).tolist()
+
+    def marginals(self, scores: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of label 1 per row, and expected label pairs, by forward and backward sums."""
+        unary = np.stack([np.zeros(len(scores)), scores], axis=1)
+        forward, backward = unary.copy(), np.zeros_like(unary)
+        for i in range(1, len(self.width)):
+            n, at, above = self.width[i], self.start[i], self.start[i - 1]
+            x = forward[above : above + n, :, None] + pairs
+            forward[at : at + n] += np.logaddexp(x[:, 0], x[:, 1])
+        for i in range(len(self.width) - 1, 0, -1):
+            n, at, above = self.width[i], self.start[i], self.start[i - 1]
+            x = (unary[at : at + n] + backward[at : at + n])[:, None, :] + pairs
+            backward[above : above + n] = np.logaddexp(x[:, :, 0], x[:, :, 1])
+        total = np.logaddexp(*forward[self.last].T)[self.sequence][:, None]
+        single = np.exp(forward + backward - total)[:, 1]
+        double = forward[self.before][:, :, None] + pairs + (unary + backward - total)[self.later][:, None, :]
+        return single, np.exp(double).sum(axis=0)
 
 
 def train(labelled: list[tuple[list[list[int]], list[int]]], steps: int = STEPS) -> Crf:
@@ -113,19 +132,23 @@ def train(labelled: list[tuple[list[list[int]], list[int]]], steps: int = STEPS)
     crf = Crf(np.zeros(FEATURES), np.zeros((2, 2)))
     seen = np.full(FEATURES, 1e-8), np.full((2, 2), 1e-8)
     labelled = [(p, y) for p, y in labelled if p]
-    flat = [
-        (np.concatenate([np.array(f) for f in p]), np.repeat(np.arange(len(p)), [len(f) for f in p]), np.array(y))
-        for p, y in labelled
-    ]
+    if not labelled:
+        return crf
+    packed = _Packed([len(p) for p, _ in labelled])
+    features, y = [[]] * len(packed.sequence), np.zeros(len(packed.sequence), np.int64)
+    observed = np.zeros((2, 2))
+    for k, which in enumerate(packed.order):
+        page, labels = labelled[which]
+        for row, f, label in zip(packed.rows(k), page, labels):
+            features[row], y[row] = f, label
+        np.add.at(observed, (labels[:-1], labels[1:]), 1.0)
+    ids = np.concatenate([np.array(f, np.int64) for f in features])
+    at = np.repeat(np.arange(len(features)), [len(f) for f in features])
     for _ in range(steps):
-        g, gp = -PULL * crf.weights, -PULL * crf.pairs
-        for ids, at, y in flat:
-            scores = np.bincount(at, weights=crf.weights[ids], minlength=len(y))
-            single, double = _marginals(scores, crf.pairs)
-            np.add.at(g, ids, (y - single)[at] / len(flat))
-            observed = np.zeros((2, 2))
-            np.add.at(observed, (y[:-1], y[1:]), 1.0)
-            gp += (observed - double) / len(flat)
+        scores = np.bincount(at, weights=crf.weights[ids], minlength=len(y))
+        single, double = packed.marginals(scores, crf.pairs)
+        g = np.bincount(ids, weights=(y - single)[at], minlength=FEATURES) / len(labelled) - PULL * crf.weights
+        gp = (observed - double) / len(labelled) - PULL * crf.pairs
         for value, grad, s in ((crf.weights, g, seen[0]), (crf.pairs, gp, seen[1])):
             s += grad * grad
             value += 0.5 * grad / np.sqrt(s)
@@ -143,7 +166,10 @@ def _named_labels(found: list[Block]) -> list[int] | None:
 
 
 def labelled_pages(sample: list[str]) -> list[tuple[list[list[int]], list[int]]]:
-    """Features and labels of the filled skeletons and of sampled pages that name their main part."""
+    """Features and labels of the filled skeletons and of all sampled pages that name their main part.
+
+    A page of more than ``STRETCH`` blocks gives several sequences, which together hold all its blocks.
+    """
     parsed = [blocks(p) for p in sample]
     texts = [b.text for page in parsed for b in page if b.text] or ["Lorem ipsum dolor sit amet."]
     long = sorted(t for t in texts if t.count(" ") >= 12) or texts
@@ -163,10 +189,11 @@ def labelled_pages(sample: list[str]) -> list[tuple[list[list[int]], list[int]]]
         for _ in range(6):
             found = blocks(fill(skeleton))
             out.append(([block_features(b) for b in found], [int(b.keep) for b in found]))
-    for found in parsed[:60]:
-        labels = _named_labels(found)
-        if labels:
-            out.append(([block_features(b) for b in found[:200]], labels[:200]))
+    for found in parsed:
+        labels = _named_labels(found) or []
+        for first in range(0, len(labels), STRETCH):
+            part = slice(first, first + STRETCH)
+            out.append(([block_features(b) for b in found[part]], labels[part]))
     return out
 
 

@@ -92,6 +92,47 @@ def test_decoding_is_the_best_path(crf):
         assert abs(total(model.decode(page)) - total(best)) < 1e-9
 
 
+def test_marginals_are_sums_over_all_paths():
+    rng = np.random.default_rng(1)
+    pairs, lengths = rng.normal(size=(2, 2)), [3, 1, 5, 5, 2]
+    packed = html_extract._Packed(lengths)
+    scores = rng.normal(size=sum(lengths))
+    single, double = packed.marginals(scores, pairs)
+    want_double = np.zeros((2, 2))
+    for k, which in enumerate(packed.order):
+        rows, total, ones = packed.rows(k), 0.0, np.zeros(lengths[which])
+        twos = np.zeros((2, 2))
+        assert len(rows) == lengths[which]
+        for m in range(1 << len(rows)):
+            y = [(m >> i) & 1 for i in range(len(rows))]
+            p = np.exp(sum(scores[r] for r, v in zip(rows, y) if v) + sum(pairs[a, b] for a, b in zip(y, y[1:])))
+            total += p
+            ones += p * np.array(y)
+            for a, b in zip(y, y[1:]):
+                twos[a, b] += p
+        assert np.allclose(single[rows], ones / total)
+        want_double += twos / total
+    assert np.allclose(double, want_double)
+
+
+def test_training_takes_all_sampled_pages_and_blocks():
+    few = html_extract.labelled_pages([])
+    pages = [f"<article><p>p{k}.</p></article>" for k in range(150)]
+    pages.append("<article>" + "".join(f"<p>b{k}.</p>" for k in range(500)) + "</article><footer>end</footer>")
+    out = html_extract.labelled_pages(pages)[len(few):]
+    assert len(out) == 153 and sum(len(p) for p, _ in out) == 651
+    assert all(len(p) == len(y) <= html_extract.STRETCH for p, y in out)
+    assert sum(sum(y) for _, y in out) == 650 and out[-1][1][-1] == 0
+
+
+def test_layout_that_sorts_last_is_learned():
+    pages = [f"<article><p>{prose(k, 30)}.</p></article>" for k in range(100)]
+    late = "<main class=zz><p>{}.</p><div class=zzaside><aside><p>{}.</p></aside></div></main>"
+    pages += [late.format(prose(k, 30), prose(200 + k, 30)) for k in range(100)]
+    crf = html_extract.train(html_extract.labelled_pages(pages))
+    assert crf.weights[html_extract._feature("name:zz")] != 0
+
+
 def test_pages_of_all_kinds(spark, crf):
     rows = [(1, "u", "<article><p>text here</p></article>", "x"), (None, None, None, "x"), (2, "u", "", "x"), (2, "u", "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
