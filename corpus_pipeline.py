@@ -8,6 +8,10 @@ from namekin.llm import decontaminate, near_dedup, piece_scan, quality_rules, su
 from namekin.sources.scratch import written
 
 
+#: Words of a shingle of the near-duplicate stage. Two words are the contract of the op5 query alone.
+SHINGLE = 5
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.keep_good(docs)
@@ -15,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, SHINGLE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,6 +40,7 @@ from namekin.sources.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Words of a shingle where a caller names no other size, as in op5.
 SHINGLE = 2
 PERCENT = 80
 BANDS, ROWS = 80, 8
@@ -129,7 +130,7 @@ def likely_similarity(
     return np.take_along_axis(grid, likelihood.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Size, digest, first registers and band keys of every document's set."""
 
     def sketch(batches):
@@ -137,7 +138,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole):
                 n, digest, registers, bands = [], [], [], []
-                for shingles in shingle_sets(batch.column("text")):
+                for shingles in shingle_sets(batch.column("text"), size):
                     n.append(len(shingles))
                     digest.append((
                         shingles.sum(dtype=np.uint64), mixed(shingles).sum(dtype=np.uint64)
@@ -198,27 +199,28 @@ def _with_texts(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar enough. ``pairs`` should be a written table."""
     def confirm(batches):
         for whole in batches:
             for batch in slices(whole, "t_b"):
+                left, right = (shingle_sets(batch.column(c), size) for c in ("t_a", "t_b"))
                 good = [
                     100 * (both := len(np.intersect1d(x, y, assume_unique=True)))
                     >= PERCENT * (len(x) + len(y) - both)
-                    for x, y in zip(shingle_sets(batch.column("t_a")), shingle_sets(batch.column("t_b")))
+                    for x, y in zip(left, right)
                 ]
                 yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return _with_texts(pairs, docs).mapInArrow(confirm, "a long, b long").distinct()
 
 
-def differences(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def differences(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``(a, b, n, diff)``: size of the set of b, and the shingles that only one of a and b holds."""
     def differ(batches):
         for whole in batches:
             for batch in slices(whole, "t_b"):
-                sets = list(zip(shingle_sets(batch.column("t_a")), shingle_sets(batch.column("t_b"))))
+                sets = list(zip(*(shingle_sets(batch.column(c), size) for c in ("t_a", "t_b"))))
                 diff = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in sets]
                 ends = np.cumsum([0, *map(len, diff)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -247,7 +249,7 @@ def _may_be_linked() -> str:
     return f"(x.d + y.d - 2 * {both}) * {100 + PERCENT} <= {far}"
 
 
-def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Pairs ``(a, b)`` of different components that share a group of ``stars (a, b)``."""
     of = found.select(F.col("node").alias("b"), F.col("component"))
     members = stars.join(of, "b", "left").withColumn("c", F.coalesce("component", "b")).drop("component")
@@ -260,7 +262,7 @@ def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame) -> DataFr
     )
     small, large = members.filter(F.col("size") <= SMALL_GROUP), members.filter(F.col("size") > SMALL_GROUP)
 
-    diffs = written(differences(written(large.select("a", "b"), "group-pairs"), docs), "differences")
+    diffs = written(differences(written(large.select("a", "b"), "group-pairs"), docs, size), "differences")
     parts = diffs.select("a", "b", F.explode("diff").alias("e"))
     shared = parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "e")
     cell = F.pmod(F.col("e"), F.lit(64 * MAPS))
@@ -328,9 +330,9 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(tops)
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per document: ``(doc_id, n_shingles, component_id, kept)``."""
-    sketched = written(sketches(docs), "sketches")
+def classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """One row per document: ``(doc_id, n_shingles, component_id, kept)``, by shingles of ``size`` words."""
+    sketched = written(sketches(docs, size), "sketches")
     narrow = sketched.select("doc_id", "n_shingles", "d1", "d2").filter(
         F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     )
@@ -350,13 +352,13 @@ def classes(docs: DataFrame) -> DataFrame:
     ).filter("low < high").select("key", "low")
     crowded = keyed.join(shared, "key").filter("doc_id > low")
     stars = written(crowded.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    links = written(confirmed(written(_estimated(stars, members), "pairs"), docs), "confirmed")
+    links = written(confirmed(written(_estimated(stars, members), "pairs"), docs, size), "confirmed")
     # A document with several rows has several sets; they are one node.
     same = equal.filter("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
 
     found = written(components(links), "components")
-    across = _pairs_across(stars, found, docs).join(stars, ["a", "b"], "left_anti")
-    more = confirmed(written(_estimated(across, members), "pairs"), docs)
+    across = _pairs_across(stars, found, docs, size).join(stars, ["a", "b"], "left_anti")
+    more = confirmed(written(_estimated(across, members), "pairs"), docs, size)
     final = written(components(links.union(more).union(same)), "components")
 
     kept = F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
@@ -366,8 +368,8 @@ def classes(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", kept)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One document of each component, with its own columns; of equal ids the first row by text."""
-    dropped = classes(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = classes(docs, size).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
     dropped = small_enough(written(dropped, "dropped"), BROADCAST_IDS)
     return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")

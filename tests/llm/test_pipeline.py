@@ -59,3 +59,14 @@ def test_nothing_in_nothing_out(spark, folder, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_have_five_words_in_common(spark, folder):
+    """Ten words changed of 200: alike by runs of two words, not by runs of five."""
+    words = prose(900, 200).split()
+    other = [f"own{k}" if k % 20 == 10 else w for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words) + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCUMENTS)
+    assert plain.near_classes(rows) == {1: 1, 2: 1, 3: 1}
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, folder[0]).collect()) == [1, 2]
