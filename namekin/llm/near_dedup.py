@@ -369,7 +369,27 @@ def classes(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """One document of each component, with its own columns; of equal ids the first row by text."""
-    dropped = classes(docs, size).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    dropped = small_enough(written(dropped, "dropped"), BROADCAST_IDS)
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    """One document of each component, with its own columns; of equal ids the first row by text.
+
+    A null text comes last; rows of equal id and text are told apart by their other columns. Rows with a null id
+    all stay.
+    """
+    found = written(
+        classes(docs, size).filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("kept")).filter("n > 1 OR NOT kept"), "not-all-kept"
+    )
+    dropped = found.select(F.col("doc_id").alias("_dropped"))
+    repeated = found.filter("kept").select(F.col("doc_id").alias("_repeated"))
+    once = docs.join(
+        small_enough(dropped, BROADCAST_IDS), docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti"
+    )
+    if not repeated.count():
+        return once
+    rows = docs.join(
+        small_enough(repeated, BROADCAST_IDS), docs["doc_id"].cast("long") == F.col("_repeated"), "left_semi"
+    )
+    whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [f"`{c}`" for c, kind in docs.dtypes if c != "text" and "map<" not in kind and kind != "variant"]
+    first = F.min_by(whole_row, F.struct(F.col("text").isNull(), F.col("text"), *others))
+    firsts = rows.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(first.alias("_first"))
+    return once.union(firsts.select("_first.*"))

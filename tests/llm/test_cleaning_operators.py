@@ -106,6 +106,17 @@ def test_keep_one(odd):
     assert {i for i in ids if i is not None} == {i for i in want if want[i] == i}
 
 
+def test_keep_one_row_of_each_id(spark):
+    """Repeated rows go even if they are alike in nothing, null ids stay; the first text is kept with its columns."""
+    rows = [(1, "b b", "x"), (1, "a a", "z"), (1, "a a", "y"), (1, None, "n"), (2, "short row", "x"), (2, "short row", "x"),
+            (3, "a a", "x"), (4, None, "x"), (4, None, "x"), (None, "c c", "x"), (None, "c c", "x"), (5, prose(31, 30), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    got = near_dedup.keep_one(docs)
+    assert got.columns == docs.columns
+    want = [(1, "a a", "y"), (2, "short row", "x"), (4, None, "x"), (None, "c c", "x"), (None, "c c", "x"), rows[-1]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("small_group", [64, 2])
 def test_links_that_only_a_second_look_finds(spark, monkeypatch, small_group):
     """A chain: each text is near the next, the ends are not near each other."""
