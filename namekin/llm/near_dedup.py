@@ -51,6 +51,10 @@ BASE, RATE, TOP = 1.001, 20.0, 65534
 MARGIN = 0.22
 #: Members of a group up to which all pairs across components are compared without looking at texts.
 SMALL_GROUP = 8
+#: Sizes of differences that are looked at together in a large group lie within this factor.
+STEP = 1.1
+#: Members of a large group that one task compares with the others.
+TOGETHER = 1000
 #: Cells of the bit map of a difference, 64 per column.
 MAPS = 8
 #: Largest set of ids that is broadcast to pick texts.
@@ -280,14 +284,47 @@ def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame, size: int
         large.join(described, ["a", "b"]).withColumn("cells", filled).distinct(), "described"
     )
 
-    def across(rows, condition):
-        # x is not linked to the group's document; with both linked they would be one component
-        x, y = rows.filter("c <> top").alias("x"), rows.alias("y")
-        other = F.expr("x.a = y.a AND x.c <> y.c AND (y.c = y.top OR x.b < y.b)")
-        joined = x.join(y, other & F.expr(condition))
-        return joined.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
+    # x is not linked to the group's document; with both linked they would be one component
+    all_pairs = _across(small.filter("c <> top"), small, ["a"], "true")
+    return all_pairs.union(_across(*_meetings(large), ["a", "kx", "ky", "part"], _may_be_linked())).distinct()
 
-    return across(small, "true").union(across(large, _may_be_linked())).distinct()
+
+def _across(x: DataFrame, y: DataFrame, keys: list[str], condition: str) -> DataFrame:
+    """Pairs of different components that meet by the keys and fulfil the condition."""
+    meet = " AND ".join(f"x.{k} = y.{k}" for k in keys)
+    other = F.expr(f"{meet} AND x.c <> y.c AND (y.c = y.top OR x.b < y.b)")
+    joined = x.alias("x").join(y.alias("y"), other & F.expr(condition))
+    return joined.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
+
+
+def _meetings(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the second look in large groups, with keys ``kx, ky, part`` besides ``a``.
+
+    The members of a group are put in buckets by the size of their difference. A member meets those of a
+    bucket only if the condition of ``_may_be_linked`` can hold with the least d, the greatest s and the
+    greatest n there, so no link is lost; members of one template that have only the template in common
+    meet nobody. What is left is split into parts of about ``TOGETHER`` members.
+    """
+    rows = large.withColumn("k", F.floor(F.log1p("d") / np.log(STEP)).cast("int"))
+    buckets = rows.groupBy(F.col("a").alias("ba"), F.col("k").alias("bk")).agg(
+        F.min("d").alias("low_d"), F.max("s").alias("high_s"), F.max("n").alias("high_n")
+    )
+    buckets = small_enough(written(buckets, "buckets"), BROADCAST_IDS)
+    # a linked one is larger by 100 / PERCENT at most
+    n = f"(n + least(high_n, n * 100 div {PERCENT}))"
+    can = f"(d + low_d - 2 * least(s, high_s)) * {100 + PERCENT} <= {n} * {100 - PERCENT}"
+
+    def side(members, own, others):
+        met = members.join(buckets, (F.col("a") == F.col("ba")) & F.expr(can))
+        return met.withColumn(own, F.col("k")).withColumn(others, F.col("bk")).drop("k", "ba", "bk", "low_d", "high_s", "high_n")
+
+    x = written(side(rows.filter("c <> top"), "kx", "ky"), "meet")
+    keys = ["a", "kx", "ky"]
+    parts = x.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("parts"))
+    parts = small_enough(written(parts, "parts"), BROADCAST_IDS)
+    x = x.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    y = side(rows, "ky", "kx").join(parts, keys).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return x, y
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
