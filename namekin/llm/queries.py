@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namekin.llm import (
     decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, quality_rules,
-    substring_dedup, token_counts, toxicity,
+    ranked_search, substring_dedup, token_counts, toxicity,
 )
 
 
@@ -83,6 +83,10 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.length_table(token_counts.histogram(table(spark, sf_dir, "documents")))
 
 
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_token_counts": op10_token_counts,
+        "op11_ranked_search": op11_ranked_search,
     }
 
 
@@ -201,10 +206,30 @@ def _repeats_sql() -> str:
         sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN left_over USING (doc_id)"""
 
 
+def _search_sql() -> str:
+    return f"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_plain()} AS w FROM documents),
+    corpus AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs),
+    asked AS (SELECT row_number() OVER () AS qid, item_id, {_plain()} AS w FROM benchmark),
+    wanted AS (SELECT qid, item_id, term, count(*) AS n FROM (SELECT qid, item_id, unnest(w) AS term FROM asked) GROUP BY ALL),
+    freq AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM docs)
+        WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+    weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+        FROM (SELECT term, count(*) AS df FROM freq GROUP BY term), corpus),
+    sizes AS (SELECT rid, doc_id, 75 + (25 * len(w) * n_docs) // n_terms AS m FROM docs, corpus WHERE len(w) > 0),
+    scores AS (SELECT qid, item_id, rid, doc_id,
+        CAST(sum(n * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+        FROM wanted JOIN weights USING (term) JOIN freq USING (term) JOIN sizes USING (rid) GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST) AS nth
+        FROM scores WHERE score > 0)
+    SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= {ranked_search.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_near_dedup": _near_sql(),
         "op8_substring_dedup": _repeats_sql(),
         "op1_quality_rules": _quality_sql(),
         "op9_decontamination": _contamination_sql(),
+        "op11_ranked_search": _search_sql(),
     }
