@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namekin.llm import (
-    decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, quality_rules,
+    decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, quality_model, quality_rules,
     ranked_search, substring_dedup, token_counts, toxicity,
 )
 
@@ -87,6 +87,13 @@ def op11_ranked_search(spark, sf_dir):
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_quality_classifier(spark, sf_dir):
+    held_out = F.coalesce(quality_model.fold(F.col("doc_id")) == quality_model.HELD_OUT, F.lit(False))
+    rows = quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    predicted = F.when(F.col("score") >= quality_model.THRESHOLD, 1).otherwise(0)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -100,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_decontamination": op9_decontamination,
         "op10_token_counts": op10_token_counts,
         "op11_ranked_search": op11_ranked_search,
+        "op12_quality_classifier": op12_quality_classifier,
     }
 
 
