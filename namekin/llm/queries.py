@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from namekin.llm import (
-    decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, quality_model, quality_rules,
-    ranked_search, substring_dedup, token_counts, toxicity,
+    decontaminate, html_extract, license_scan, near_dedup, packing, piece_scan, prefix_trie, quality_model,
+    quality_rules, ranked_search, substring_dedup, token_counts, toxicity,
 )
 
 
@@ -94,6 +94,10 @@ def op12_quality_classifier(spark, sf_dir):
     return rows.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op13_conversation_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -108,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_token_counts": op10_token_counts,
         "op11_ranked_search": op11_ranked_search,
         "op12_quality_classifier": op12_quality_classifier,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
@@ -233,6 +238,43 @@ def _search_sql() -> str:
     SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= {ranked_search.TOP}"""
 
 
+def _trie_sql() -> str:
+    content = "md5(CAST(length(r) AS VARCHAR) || ':' || r || t)"
+    return f"""
+    WITH named AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+    placed AS (SELECT conv_id, {content} AS what, length(t) AS points,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {content}) AS pos FROM named),
+    ids AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS lead FROM placed GROUP BY conv_id),
+    crc AS (SELECT conv_id, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM ids),
+    about AS (SELECT i.conv_id, i.lead, h, least(h, coalesce(b.n, 0)) AS taken FROM ids i JOIN crc USING (conv_id)
+        LEFT JOIN ids b ON b.conv_id = i.lead),
+    turns AS (SELECT a.conv_id, p.pos AS d, what, points FROM about a JOIN placed p ON p.conv_id = a.lead AND p.pos <= a.taken
+        UNION ALL SELECT a.conv_id, p.pos - h + taken, what, points FROM about a JOIN placed p ON p.conv_id = a.conv_id AND p.pos > h),
+    lengths AS (SELECT a.conv_id, count(t.d) AS len FROM about a LEFT JOIN turns t USING (conv_id) GROUP BY a.conv_id),
+    steps AS (SELECT conv_id, d, points, string_agg(what, '/') OVER (PARTITION BY conv_id ORDER BY d) AS node FROM turns
+        UNION ALL SELECT conv_id, 0, 0, '' FROM about),
+    nodes AS (SELECT node, d, min(conv_id) AS own, count(*) AS n_convs, max(points) AS points,
+        string_agg(CASE WHEN d = len THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+        FROM steps JOIN lengths USING (conv_id) GROUP BY node, d),
+    parents AS (SELECT n.node, p.node AS parent, p.own AS parent_own FROM nodes n JOIN steps s ON s.conv_id = n.own AND s.d = n.d - 1
+        JOIN nodes p ON p.node = s.node AND p.d = s.d),
+    children AS (SELECT parent AS node, count(*) AS n_children FROM parents GROUP BY parent),
+    filled AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (node)),
+    sums AS (SELECT s.node, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((u.n_convs - 1) * u.points) AS saved
+        FROM filled u JOIN steps s ON s.conv_id = u.own AND s.d <= u.d GROUP BY s.node)
+    SELECT own AS conv_id, CAST(d AS BIGINT) AS depth, parent_own AS parent_conv_id, n_convs, n_children,
+        CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+    FROM filled JOIN sums USING (node) LEFT JOIN parents USING (node)"""
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    step = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    eight = "list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda x, y: " + step + ")"
+    codes = f"[CAST(ascii(c) AS BIGINT) FOR c IN string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda a, b: {eight}), 4294967295)"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_near_dedup": _near_sql(),
@@ -240,4 +282,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": _quality_sql(),
         "op9_decontamination": _contamination_sql(),
         "op11_ranked_search": _search_sql(),
+        "op13_conversation_trie": _trie_sql(),
     }
