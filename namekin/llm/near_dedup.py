@@ -10,10 +10,10 @@ similarity as probability, and the register-wise maximum is the sketch of the un
    smallest id there, so a bucket of any size gives one pair per member.
 3. Pairs are first estimated by joint likelihood of their registers, then confirmed on the full sets.
 4. Confirmed links give components. The members compared with one document form its group. Groups that
-   still hold several components are compared once more, across components only, so no link is lost
-   to the choice of step 2. In a large group a member is described by its difference to that document;
-   two members can only be linked if enough of their differences are shared by somebody in the group,
-   which leaves few pairs (exact, see ``_may_be_linked``).
+   still hold several components are looked at once more, across components only, so no link is lost
+   to the choice of step 2. Up to ``SMALL_GROUP`` members all pairs are compared. A larger group is cut into
+   groups by the rare elements that linked members must share, again and again until they are small, so
+   members that only have a template in common never meet (exact, see ``_refined``).
 
 At similarity 0.8 a pair shares no band with probability ``(1 - 0.8**8)**80``, about 4e-7.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from namekin.llm.words import (
     hash_windows, hash_words, mixed, slices, small_enough, text_bytes, within_texts, word_bounds,
 )
+from namekin.operators.skew import join_lookup
 from namekin.sources.scratch import written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,14 +51,8 @@ ESTIMATE_REGISTERS = 128
 BASE, RATE, TOP = 1.001, 20.0, 65534
 #: Pairs estimated this far below the threshold (six standard deviations) are not confirmed.
 MARGIN = 0.22
-#: Members of a group up to which all pairs across components are compared without looking at texts.
+#: Members of a group up to which all pairs across components are compared.
 SMALL_GROUP = 8
-#: Sizes of differences that are looked at together in a large group lie within this factor.
-STEP = 1.1
-#: Members of a large group that one task compares with the others.
-TOGETHER = 1000
-#: Cells of the bit map of a difference, 64 per column.
-MAPS = 8
 #: Largest set of ids that is broadcast to pick texts.
 BROADCAST_IDS = 1_000_000
 
@@ -238,93 +234,100 @@ def differences(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataF
     return _with_texts(pairs, docs).mapInArrow(differ, "a long, b long, n long, diff array<long>")
 
 
-def _may_be_linked() -> str:
-    """Condition on two members x, y of one group, of sizes n, with d elements in their differences to
-    the group's document, s of them in the difference of another member too.
-
-    A link means at most ``(n_x + n_y) (100 - PERCENT) / (100 + PERCENT)`` elements in only one of the
-    sets. The sets differ in ``d_x + d_y`` elements less twice those that both differences hold. These
-    are at most the smaller s, and at most the cells that both bit maps have, plus the smaller number
-    of elements that share a cell with others.
-    """
-    cells = " + ".join(f"bit_count(x.m{k} & y.m{k})" for k in range(MAPS))
-    both = f"least(x.s, y.s, {cells} + least(x.s - x.cells, y.s - y.cells))"
-    far = f"(x.n + y.n) * {100 - PERCENT}"
-    return f"(x.d + y.d - 2 * {both}) * {100 + PERCENT} <= {far}"
-
-
 def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Pairs ``(a, b)`` of different components that share a group of ``stars (a, b)``."""
     of = found.select(F.col("node").alias("b"), F.col("component"))
-    members = stars.join(of, "b", "left").withColumn("c", F.coalesce("component", "b")).drop("component")
-    top = found.select(F.col("node").alias("a"), F.col("component").alias("top"))
-    sizes = members.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("low"), F.max("c").alias("high"))
-    sizes = sizes.filter("size > 1 AND low < high")
-    members = written(
-        members.join(sizes.select("a", "size"), "a").join(top, "a", "left")
-        .withColumn("top", F.coalesce("top", "a")), "groups"
-    )
-    small, large = members.filter(F.col("size") <= SMALL_GROUP), members.filter(F.col("size") > SMALL_GROUP)
-
-    diffs = written(differences(written(large.select("a", "b"), "group-pairs"), docs, size), "differences")
-    parts = diffs.select("a", "b", F.explode("diff").alias("e"))
-    shared = parts.groupBy("a", "e").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a", "e")
-    cell = F.pmod(F.col("e"), F.lit(64 * MAPS))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 64).cast("int"))
-    maps = [
-        F.bit_or(F.when(F.floor(cell / 64) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"m{k}")
-        for k in range(MAPS)
-    ]
-    shared = parts.join(shared, ["a", "e"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("s"), *maps)
-    described = diffs.select("a", "b", "n", F.size("diff").cast("long").alias("d")).join(
-        shared, ["a", "b"], "left"
-    ).na.fill(0)
-    filled = sum((F.bit_count(f"m{k}") for k in range(MAPS)), F.lit(0))
-    large = written(
-        large.join(described, ["a", "b"]).withColumn("cells", filled).distinct(), "described"
-    )
+    members = stars.join(of, "b", "left").withColumn("c", F.coalesce("component", "b"))
+    members = _mixed(members.select(F.col("a").alias("g"), "b", "c"))
+    large = members.filter(F.col("size") > SMALL_GROUP)
+    pairs = [written(_all_pairs(members.filter(F.col("size") <= SMALL_GROUP)), "across")]
+    if not large.isEmpty():
+        diffs = differences(written(large.select(F.col("g").alias("a"), "b"), "group-pairs"), docs, size)
+        groups = diffs.withColumnRenamed("a", "g").join(large, ["g", "b"])
+        pairs += _pairs_within(written(groups.select(*GROUP), "groups"))
+    return reduce(DataFrame.union, pairs).distinct()
+
+
+def _pairs_within(groups: DataFrame) -> list[DataFrame]:
+    """Pairs ``(a, b)`` of members of large groups, enough to connect all that are linked."""
+    pairs = []
+    while not groups.isEmpty():
+        close, small, groups = _refined(groups)
+        pairs.append(written(close.union(_all_pairs(small)), "across"))
+    return pairs
 
-    # x is not linked to the group's document; with both linked they would be one component
-    all_pairs = _across(small.filter("c <> top"), small, ["a"], "true")
-    return all_pairs.union(_across(*_meetings(large), ["a", "kx", "ky", "part"], _may_be_linked())).distinct()
 
+GROUP = ["g", "b", "c", "n", "diff"]
 
-def _across(x: DataFrame, y: DataFrame, keys: list[str], condition: str) -> DataFrame:
-    """Pairs of different components that meet by the keys and fulfil the condition."""
-    meet = " AND ".join(f"x.{k} = y.{k}" for k in keys)
-    other = F.expr(f"{meet} AND x.c <> y.c AND (y.c = y.top OR x.b < y.b)")
-    joined = x.alias("x").join(y.alias("y"), other & F.expr(condition))
-    return joined.select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b"))
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """``members (g, b, c)`` of the groups that hold several components, with the group's ``size``, written."""
+    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("low"), F.max("c").alias("high"))
+    sizes = written(sizes.filter("low < high").select("g", "size"), "sizes")
+    return written(join_lookup(members, sizes, ["g"], counts=sizes, weight="size"), "members")
 
-def _meetings(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two sides of the second look in large groups, with keys ``kx, ky, part`` besides ``a``.
 
-    The members of a group are put in buckets by the size of their difference. A member meets those of a
-    bucket only if the condition of ``_may_be_linked`` can hold with the least d, the greatest s and the
-    greatest n there, so no link is lost; members of one template that have only the template in common
-    meet nobody. What is left is split into parts of about ``TOGETHER`` members.
+def _all_pairs(small: DataFrame) -> DataFrame:
+    """All pairs of different components in groups of at most ``SMALL_GROUP``."""
+    x, y = small.select("g", "b", "c").alias("x"), small.select("g", "b", "c").alias("y")
+    met = x.join(y, F.expr("x.g = y.g AND x.b < y.b AND x.c <> y.c"))
+    return met.select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
+
+
+def _refined(groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round on large groups ``(g, b, c, n, diff)``: sets of n elements, as differences to a set of the group.
+
+    The common set is first moved to the majority: an element in more than half of the differences is
+    turned over in all of them. With d elements left in a difference let ``s = (100 + PERCENT) d -
+    (100 - PERCENT) n``. Members x and y are linked if and only if their differences share at least
+    ``(s_x + s_y) / (2 (100 + PERCENT))`` elements. So, exactly:
+
+    * where ``s_x + s_y <= 0`` they are linked, and both are with the member of the smallest s; pairs with
+      that one make one component of all of these;
+    * else they share at least one element, and at least o, that bound with the smallest s for one of them. Then
+      they share one of the rarest ``m - o + 1`` of the m elements that a member shares with anybody.
+
+    These elements make the groups of the next round, each at most half as large. Groups of the same members
+    are kept once. Returns pairs with the most central members, members of the new groups of at most
+    ``SMALL_GROUP`` and those of larger ones.
     """
-    rows = large.withColumn("k", F.floor(F.log1p("d") / np.log(STEP)).cast("int"))
-    buckets = rows.groupBy(F.col("a").alias("ba"), F.col("k").alias("bk")).agg(
-        F.min("d").alias("low_d"), F.max("s").alias("high_s"), F.max("n").alias("high_n")
+    sizes = groups.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    count = lambda rows: rows.select("g", F.explode("diff").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"))
+    often = count(groups).filter("f > 1").join(sizes, "g").filter("2 * f > size")
+    most = sizes.join(often.groupBy("g").agg(F.collect_list("e").alias("common")), "g", "left")
+    most = written(most.withColumn("common", F.coalesce("common", F.array().cast("array<long>"))), "majority")
+    moved = F.array_union(F.array_except("diff", "common"), F.array_except("common", "diff"))
+    centred = join_lookup(groups, most, ["g"], counts=most, weight="size").withColumn("diff", moved)
+    near, far = 100 - PERCENT, 100 + PERCENT
+    centred = written(
+        centred.withColumn("s", far * F.size("diff").cast("long") - near * F.col("n")).select(*GROUP, "s", "size"), "centred"
+    )
+
+    centre = centred.groupBy("g").agg(F.min(F.struct("s", "b", "c")).alias("p"), F.count(F.lit(1)).alias("size"))
+    centre = written(centre.select("g", "size", F.col("p.s").alias("ps"), F.col("p.b").alias("pb"), F.col("p.c").alias("pc")), "centres")
+    placed = join_lookup(centred.drop("size"), centre, ["g"], counts=centre, weight="size")
+    close = placed.filter("s + ps <= 0 AND c <> pc").select(F.least("pb", "b").alias("a"), F.greatest("pb", "b").alias("b"))
+
+    shared = written(count(centred).filter("f > 1"), "shared")
+    least = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("ps")) / (2 * far))).cast("int")
+    elements = placed.select("g", "b", least.alias("o"), F.explode("diff").alias("e"))
+    rare = join_lookup(elements, shared, ["g", "e"], counts=shared, weight="f").groupBy("g", "b", "o").agg(
+        F.sort_array(F.collect_list(F.struct("f", "e"))).alias("es")
+    )
+    rare = rare.filter(F.size("es") >= F.col("o")).select(
+        "g", "b", F.explode(F.slice("es", F.lit(1), F.size("es") - F.col("o") + 1)).alias("k")
     )
-    buckets = small_enough(written(buckets, "buckets"), BROADCAST_IDS)
-    # a linked one is larger by 100 / PERCENT at most
-    n = f"(n + least(high_n, n * 100 div {PERCENT}))"
-    can = f"(d + low_d - 2 * least(s, high_s)) * {100 + PERCENT} <= {n} * {100 - PERCENT}"
-
-    def side(members, own, others):
-        met = members.join(buckets, (F.col("a") == F.col("ba")) & F.expr(can))
-        return met.withColumn(own, F.col("k")).withColumn(others, F.col("bk")).drop("k", "ba", "bk", "low_d", "high_s", "high_n")
-
-    x = written(side(rows.filter("c <> top"), "kx", "ky"), "meet")
-    keys = ["a", "kx", "ky"]
-    parts = x.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / TOGETHER).cast("int").alias("parts"))
-    parts = small_enough(written(parts, "parts"), BROADCAST_IDS)
-    x = x.join(parts, keys).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    y = side(rows, "ky", "kx").join(parts, keys).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return x, y
+    rare = written(rare.select("g", "b", F.xxhash64("g", "k.e").alias("into")), "rare")
+    members = rare.join(centred.select("g", "b", "c"), ["g", "b"])
+    found = members.groupBy("into").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("b")).alias("who"), F.min("c").alias("low"), F.max("c").alias("high")
+    ).filter("low < high")
+    found = written(found.groupBy("size", "who").agg(F.min("into").alias("into")).select("into", "size"), "next")
+    dealt = join_lookup(rare, found, ["into"], counts=found, weight="size")
+    rows = dealt.join(centred.select(*GROUP), ["g", "b"]).select(F.col("into").alias("g"), "b", "c", "n", "diff", "size")
+    small = rows.filter(F.col("size") <= SMALL_GROUP).select("g", "b", "c")
+    large = written(rows.filter(F.col("size") > SMALL_GROUP).select(*GROUP), "groups")
+    return close, small, large
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:

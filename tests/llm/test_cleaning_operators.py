@@ -132,27 +132,6 @@ def test_links_that_only_a_second_look_finds(spark, monkeypatch, small_group):
     assert {r["doc_id"]: r["component_id"] for r in near_dedup.classes(docs).collect()} == want
 
 
-def test_meetings_in_large_groups_lose_no_pair(spark, monkeypatch):
-    """Members of one template meet nobody; others form the pairs that the condition lets pass over all pairs."""
-    monkeypatch.setattr(near_dedup, "TOGETHER", 5)
-    rng, maps = np.random.default_rng(3), near_dedup.MAPS
-    rows = []
-    for b in range(2, 62):
-        n, d = int(rng.integers(80, 120)), int(rng.integers(0, 60))
-        s = int(rng.integers(0, d + 1))
-        c = 1 if d * 180 <= (n + 100) * 20 else b
-        rows.append((1, b, c, 1, n, d, s, 0, *map(int, rng.integers(0, 1 << 40, maps))))
-    template = [(500, b, b, 500, 200, 84 + b % 3, 42, 0, *[-1] * maps) for b in range(501, 601)]
-    schema = "a long, b long, c long, top long, n long, d long, s long, cells long, " + ", ".join(f"m{k} long" for k in range(maps))
-    large = spark.createDataFrame(rows + template, schema)
-    x, y = near_dedup._meetings(large)
-    assert x.filter("a = 500").count() == 0 and x.count() > 0
-    fits = f"{near_dedup._may_be_linked()} AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)"
-    got = near_dedup._across(x, y, ["a", "kx", "ky", "part"], fits).collect()
-    want = near_dedup._across(large.filter("c <> top"), large, ["a"], fits).collect()
-    assert len(want) > 20 and sorted(map(tuple, got)) == sorted(map(tuple, want))
-
-
 def test_registers_estimate_similarity_and_merge():
     rng = np.random.default_rng(1)
     pool = rng.integers(1, 1 << 63, 3000, dtype=np.uint64)
