@@ -142,9 +142,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    marks = contamination(docs, items, size).filter("contaminated").select(
-        F.col("doc_id").alias("h_id"), F.col("_text").alias("h_text")
-    ).distinct()
+    marks = contamination(docs, items, size).filter("contaminated").select("doc_id", "_text").distinct()
     marks = small_enough(written(marks, "contaminated"), BROADCAST_ROWS)
-    same = docs["doc_id"].eqNullSafe(F.col("h_id")) & (F.xxhash64(whole(docs["text"])) == F.col("h_text"))
-    return docs.join(marks, same, "left_anti")
+    # whole rows travel in one column, so no name of theirs meets a name used here
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("id"), F.xxhash64(whole("text")).alias("hash"),
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("_text"))
+    return rows.join(marks, same, "left_anti").select("row.*")

@@ -418,18 +418,15 @@ def keep_one(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         classes(docs, size).filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("kept").alias("kept")).filter("n > 1 OR NOT kept"), "not-all-kept"
     )
-    dropped = found.select(F.col("doc_id").alias("_dropped"))
-    repeated = found.filter("kept").select(F.col("doc_id").alias("_repeated"))
-    once = docs.join(
-        small_enough(dropped, BROADCAST_IDS), docs["doc_id"].cast("long") == F.col("_dropped"), "left_anti"
-    )
-    if not repeated.count():
+    # whole rows travel in one column, so no name of theirs meets a name used here
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    dropped = small_enough(found.select(F.col("doc_id").alias("id")), BROADCAST_IDS)
+    once = rows.join(dropped, "id", "left_anti").select("row.*")
+    repeated = found.filter("kept").select(F.col("doc_id").alias("id"))
+    if repeated.isEmpty():
         return once
-    rows = docs.join(
-        small_enough(repeated, BROADCAST_IDS), docs["doc_id"].cast("long") == F.col("_repeated"), "left_semi"
-    )
-    whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    others = [f"`{c}`" for c, kind in docs.dtypes if c != "text" and "map<" not in kind and kind != "variant"]
-    first = F.min_by(whole_row, F.struct(F.col("text").isNull(), F.col("text"), *others))
-    firsts = rows.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(first.alias("_first"))
-    return once.union(firsts.select("_first.*"))
+    others = [F.col(f"row.`{c}`") for c, kind in docs.dtypes if c != "text" and "map<" not in kind and kind != "variant"]
+    first = F.min_by("row", F.struct(F.col("row.text").isNull(), F.col("row.text"), *others))
+    same_id = rows.join(small_enough(repeated, BROADCAST_IDS), "id", "left_semi")
+    return once.union(same_id.groupBy("id").agg(first.alias("row")).select("row.*"))

@@ -338,7 +338,7 @@ def encode(
 ) -> DataFrame:
     """``docs`` with ``ids``: the piece ids of ``text`` as little-endian 4-byte integers."""
     data = tokenizers.vocabulary(model, folder)
-    columns = [c for c in docs.columns if c != "ids"]
+    columns = [c for c in docs.columns if c.lower() != "ids"]
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("whole")
     rows = docs.select(row, whole("text").alias("text"))
     kind = docs.select(row).schema["whole"].dataType.simpleString()
@@ -368,7 +368,7 @@ def decode(
 ) -> DataFrame:
     """``encoded`` with ``decoded``: the text of its ``ids`` (null for null)."""
     data = tokenizers.vocabulary(model, folder)
-    columns = [c for c in encoded.columns if c not in ("ids", "decoded")]
+    columns = [c for c in encoded.columns if c.lower() not in ("ids", "decoded")]
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("whole")
     kind = encoded.select(row).schema["whole"].dataType.simpleString()
 

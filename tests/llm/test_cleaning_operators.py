@@ -224,8 +224,3 @@ def test_proximity(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["_id"] for r in decontaminate.matches(docs, items).collect()} == {1}
     assert {r["_id"] for r in decontaminate.matches(docs, items, slack=3).collect()} == {1, 2}
-
-
-def test_extra_names_clash_with_nothing(odd):
-    assert set(EXTRA) <= set(odd.columns)
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
