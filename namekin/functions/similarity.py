@@ -24,6 +24,10 @@ _MATRIX_WIDTH = 64
 # the length; beyond, matching a pair by itself takes less time, as it is linear in the length.
 _BATCH_WIDTH = 512
 _CHUNK_CELLS = 1 << 18
+# Characters counted by the letter signature: nine per 64-bit word, seven bits each.
+SIGNATURE_LETTERS = "etaoinsrhldcumfpgwybvkxjqz0123456789"
+_BITS, _PER_WORD = 7, 9
+SIGNATURE_WORDS = len(SIGNATURE_LETTERS) // _PER_WORD
 
 
 @dataclass(frozen=True)
@@ -71,6 +75,19 @@ class Similarity:
         budget = self.unmatched_budget(threshold) + _SLACK
         return longer - F.least(l1, l2) <= longer * F.lit(budget)
 
+    def letters_fit(
+        self, lengths: tuple[Column, Column], signatures: tuple[list[Column], list[Column]], threshold: float
+    ) -> Column:
+        """False only for pairs whose letter counts alone keep them below ``threshold``.
+
+        Signatures differ in at most as many bits as the strings have letters that only one of them holds.
+        """
+        (l1, l2), differing = lengths, F.lit(0)
+        for x, y in zip(*signatures):
+            differing = differing + F.bit_count(x.bitwiseXOR(y))
+        budget = self.unmatched_budget(threshold) + _SLACK
+        return (l1 + l2 - differing) * (1.0 / l1 + 1.0 / l2) >= 2 * (2 - budget) - _SLACK
+
     def score(
         self, left: list[str], right: list[str], threshold: float | None = None
     ) -> np.ndarray:
@@ -120,6 +137,17 @@ class Similarity:
         return first_similar.asNondeterministic()
 
 
+def letter_signature(column: str) -> list[Column]:
+    """How often each of ``SIGNATURE_LETTERS`` stands in the column, up to seven times, as 64-bit words: that
+    many low bits of the letter's seven. Other characters are not counted."""
+    def bits(k, letter):
+        times = f"length(`{column}`) - length(replace(`{column}`, '{letter}', ''))"
+        return f"shiftleft(shiftleft(1L, least({times}, {_BITS})) - 1L, {k * _BITS})"
+
+    words = [SIGNATURE_LETTERS[k : k + _PER_WORD] for k in range(0, len(SIGNATURE_LETTERS), _PER_WORD)]
+    return [F.expr(" | ".join(bits(k, c) for k, c in enumerate(w))) for w in words]
+
+
 def reaches(score, threshold: float):
     """Threshold test on scores rounded to 9 digits; an exact 0.95 passes 0.95."""
     if isinstance(score, Column):

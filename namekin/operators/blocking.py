@@ -2,26 +2,29 @@
 
 Words pair only within the same prefix. Within a prefix, two words of given lengths that reach the
 similarity threshold differ in at most D characters (as multisets, both sides together). Cut the
-alphabet into D + 1 classes: in at least one class both words have exactly the same letters. So the
-letters of one class, with the prefix and the lengths, form a join key that no qualifying pair
-misses and few other pairs share.
+alphabet into D + A classes: in at least A classes both words have exactly the same letters. So the
+letters of A classes, with the prefix and the lengths, form a join key that no qualifying pair
+misses and few other pairs share. A is 1 for few differing characters and 2 for more, where a single
+class has too few letters to tell words apart. What shares a key then has to pass the letter
+signature, which is exact on counts, and comes once: under the first classes in which it agrees.
 """
 
 from __future__ import annotations
 
-from math import ceil, floor
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from namekin.functions.similarity import Similarity
+from namekin.functions.similarity import SIGNATURE_LETTERS, SIGNATURE_WORDS, Similarity, letter_signature
 from namekin.functions.text import prefix_key
 from namekin.operators.skew import MAX_ROWS_PER_KEY, split_blocks
 
-_CUT_LENGTH = 24  # a pair with a longer word is keyed by prefix and lengths alone,
-_MAX_CLASSES = 8  # and so is a pair that would need more classes
+#: Differing characters up to which one agreeing class makes a key, and up to which two do. Pairs that may
+#: differ in more are keyed by prefix and lengths alone, and left to the letter signature.
+_ONE_CLASS, _TWO_CLASSES = 4, 12
 # By falling frequency, so that dealing the letters out in turn gives classes of similar weight.
 # Characters not listed are in no class, which costs selectivity but no pairs.
-_ALPHABET = "etaoinsrhldcumfpgwybvkxjqz0123456789"
+_ALPHABET = SIGNATURE_LETTERS
 
 
 def block_sizes(left: DataFrame, right: DataFrame, word: str = "word", prefix: int = 3) -> DataFrame:
@@ -45,71 +48,62 @@ def candidate_pairs(
     prefix: int = 3,
     max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """Pairs with equal prefix, every pair that reaches ``threshold`` among them.
+    """Pairs with equal prefix, every pair that reaches ``threshold`` among them, each once.
 
-    ``left`` should be the smaller side; both hold distinct, non-empty words. A pair that agrees in
-    several classes comes once for each; similar pairs have few classes, and a shuffle to remove the
-    repeats would cost more than scoring them.
+    ``left`` should be the smaller side; both hold distinct, non-empty words. Blocks with more than
+    ``max_rows`` words are split on both sides.
     """
     budget = similarity.unmatched_budget(threshold) + 1e-6
-    lw, rw = F.col(left_word), F.col(right_word)
     by_letters = budget < 0.9  # looser, lengths and letters rule out next to nothing
-    small, big = left, right
+    small, big = _prepared(left, left_word, "l", prefix), _prepared(right, right_word, "r", prefix)
     if by_letters:
-        small = small.withColumn("_length", F.explode(_partner_lengths(F.length(lw), budget)))
-        big = big.withColumn("_length", F.length(rw))
-    lengths = ["_length"] if by_letters else []
-    small = small.withColumn("_key", F.xxhash64(prefix_key(lw, prefix), *lengths))
-    big = big.withColumn("_key", F.xxhash64(prefix_key(rw, prefix), *lengths))
-    big, small = split_blocks(big, small, "_key", rw, max_rows)
-    if by_letters:
-        count = _lookup(_class_table(budget), F.length(lw) * 100 + F.col("_length"), F.lit(0))
-        small = _by_class(small.withColumn("_classes", count), lw, prefix)
-        counts = _lookup(_class_lists(budget), F.length(rw), F.array(F.lit(0)))
-        big = _by_class(big.withColumn("_classes", F.explode(counts)), rw, prefix)
-
-    same_prefix = prefix_key(lw, prefix) == prefix_key(rw, prefix)
-    pairs = big.join(small, ["_key", "_part"])
-    return pairs.filter(same_prefix & similarity.lengths_fit(lw, rw, threshold)).select(
-        *left.columns, *right.columns
+        small = small.withColumn("_length", F.explode(_partner_lengths(F.col("_size_l"), budget)))
+        small = small.withColumn("_differing", _differing(F.col("_size_l"), F.col("_length"), budget))
+        small = small.filter("_differing >= 0")
+        partners = F.transform(
+            _partner_lengths(F.col("_size_r"), budget), lambda other: _differing(F.col("_size_r"), other, budget)
+        )
+        big = big.withColumn("_length", F.col("_size_r")).withColumn("_differing", F.explode(F.array_distinct(partners)))
+        small, big = _by_classes(small, "l"), _by_classes(big.filter("_differing >= 0"), "r")
+        keys = ["_block", "_length", "_differing", "_combination", "_letters"]
+        small, big = (x.withColumn("_key", F.xxhash64(*keys)).drop("_length", "_differing", "_letters") for x in (small, big))
+    else:
+        small, big = small.withColumn("_key", F.col("_block")), big.withColumn("_key", F.col("_block"))
+    big, small = split_blocks(
+        big, small, "_key", F.col(f"`{right_word}`"), max_rows, F.col(f"`{left_word}`")
     )
+    if by_letters:
+        small = small.withColumnsRenamed({"_combination": "_combination_l"})
+    pairs = big.join(small, ["_key", "_part", "_other_part"])
 
+    fits = (F.col("_prefix_l") == F.col("_prefix_r")) & similarity.lengths_fit(F.col(left_word), F.col(right_word), threshold)
+    if by_letters:
+        lengths = F.col("_size_l"), F.col("_size_r")
+        signatures = tuple([F.col(f"_s{k}_{side}") for k in range(SIGNATURE_WORDS)] for side in "lr")
+        fits = fits & similarity.letters_fit(lengths, signatures, threshold) & _first_agreement()
+    return pairs.filter(fits).select(*left.columns, *right.columns)
 
-def _classes(l1: int, l2: int, budget: float) -> int | None:
-    """Alphabet classes for a pair of these lengths: 0 if keyed by lengths alone, None if no such
-    pair can reach the threshold."""
-    shorter, longer = sorted((l1, l2))
-    left_over = budget - (longer - shorter) / longer
-    if left_over < 0:
-        return None
-    differing = 2 * floor(left_over / (1 / shorter + 1 / longer)) + longer - shorter
-    return differing + 1 if longer <= _CUT_LENGTH and differing < _MAX_CLASSES else 0
-
-
-def _partners(length: int, budget: float) -> range:
-    return range(max(1, ceil(length * (1 - budget))), floor(length / (1 - budget)) + 1)
-
-
-def _class_table(budget: float) -> dict[int, int]:
-    """Class count by ``100 * left length + right length``, for short words."""
-    pairs = ((a, b) for a in range(1, _CUT_LENGTH + 1) for b in _partners(a, budget))
-    return {
-        a * 100 + b: count
-        for a, b in pairs if (count := _classes(a, b, budget)) is not None
-    }
 
+def _prepared(df: DataFrame, word: str, side: str, prefix: int) -> DataFrame:
+    """The words with their length, prefix, block and letter signature."""
+    value = F.col(f"`{word}`")
+    columns = {f"_size_{side}": F.length(value), f"_prefix_{side}": prefix_key(value, prefix)}
+    columns |= {f"_s{k}_{side}": s for k, s in enumerate(letter_signature(word))}
+    known = F.regexp_replace(F.substring(value, prefix + 1, 1 << 30), f"[^{_ALPHABET}]", "")
+    columns["_sorted"] = F.array_join(F.sort_array(F.split(known, "")), "")
+    return df.withColumns(columns).withColumn("_block", F.xxhash64(f"_prefix_{side}"))
 
-def _class_lists(budget: float) -> dict[int, list[int]]:
-    """Class counts that partners of a short word call for, by its length."""
-    found: dict[int, set[int]] = {}
-    for key, count in _class_table(budget).items():
-        found.setdefault(key // 100, set()).add(count)
-    return {length: sorted(counts) for length, counts in found.items()}
 
+def _differing(l1: Column, l2: Column, budget: float) -> Column:
+    """Most characters that a pair of these lengths may differ in and still reach the threshold; -1 if none does.
 
-def _lookup(table: dict, key: Column, otherwise: Column) -> Column:
-    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.coalesce(entries[key], otherwise)
+    Beyond ``_ONE_CLASS`` rounded up to even numbers, beyond ``_TWO_CLASSES`` to one more, for fewer cases.
+    """
+    shorter, longer = F.least(l1, l2), F.greatest(l1, l2)
+    left_over = budget - (longer - shorter) / longer
+    count = (2 * F.floor(left_over / (1.0 / shorter + 1.0 / longer)) + longer - shorter).cast("int")
+    rounded = F.when(count <= _ONE_CLASS, count).when(count <= _TWO_CLASSES, count + F.pmod(count, F.lit(2)))
+    return F.when(left_over < 0, -1).otherwise(F.coalesce(rounded, F.lit(_TWO_CLASSES + 1)))
 
 
 def _partner_lengths(length: Column, budget: float) -> Column:
@@ -118,20 +112,37 @@ def _partner_lengths(length: Column, budget: float) -> Column:
     return F.sequence(low, F.floor(length / (1 - budget)).cast("int"))
 
 
-def _by_class(df: DataFrame, word: Column, prefix: int) -> DataFrame:
-    """One row per class of ``_classes``, with the class and its letters mixed into ``_key``."""
-    known = F.regexp_replace(F.substring(word, prefix + 1, 1 << 30), f"[^{_ALPHABET}]", "")
-    last = F.greatest(F.col("_classes"), F.lit(1)) - 1
-    rows = df.withColumn("_sorted", F.array_join(F.sort_array(F.split(known, "")), "")).withColumn(
-        "_index", F.explode(F.sequence(F.lit(0), last))
+def _schemes() -> dict[int, tuple[int, int]]:
+    """Classes and how many of them must agree, by the number of differing characters."""
+    one = {d: (d + 1, 1) for d in range(_ONE_CLASS + 1)}
+    return one | {d: (d + 2, 2) for d in range(_ONE_CLASS + 2, _TWO_CLASSES + 1, 2)} | {_TWO_CLASSES + 1: (1, 0)}
+
+
+def _by_classes(df: DataFrame, side: str) -> DataFrame:
+    """One row per combination of classes, with the classes (``_combination``), a hash of their letters
+    (``_letters``) and the hashes of all classes (``_codes_<side>``)."""
+    # Literal tables and one translate per class; a branch per class would be too much code to compile.
+    def array(items):
+        return f"array({', '.join(items)})"
+
+    others, combined = [], []
+    for differing, (classes, agreeing) in _schemes().items():
+        inside = [_ALPHABET[k::classes] for k in range(classes)]
+        drop = ["'" + "".join(c for c in _ALPHABET if c not in x) + "'" for x in inside]
+        chosen = [array(map(str, c)) if c else "CAST(array() AS array<int>)" for c in combinations(range(classes), agreeing)]
+        others += [str(differing), array(drop)]
+        combined += [str(differing), array(chosen)]
+    codes = f"transform(map({', '.join(others)})[_differing], d -> xxhash64(translate(_sorted, d, '')))"
+    of = f"xxhash64(transform(_combination, k -> get(_codes_{side}, k)))"
+    rows = df.withColumn(f"_codes_{side}", F.expr(codes))
+    rows = rows.withColumn("_combination", F.expr(f"explode(map({', '.join(combined)})[_differing])"))
+    return rows.withColumn("_letters", F.expr(of)).drop("_sorted")
+
+
+def _first_agreement() -> Column:
+    """The classes of the key are the first in which the two words agree."""
+    agreeing = F.filter(
+        F.sequence(F.lit(0), F.size("_codes_l") - 1),
+        lambda k: F.get(F.col("_codes_l"), k) == F.get(F.col("_codes_r"), k),
     )
-    # One table lookup and one translate; a branch per class would be too much code to compile.
-    other_letters = {0: _ALPHABET}
-    for count in range(1, _MAX_CLASSES + 1):
-        for index in range(count):
-            inside = _ALPHABET[index::count]
-            other_letters[count * 100 + index] = "".join(c for c in _ALPHABET if c not in inside)
-    drop = _lookup(other_letters, F.col("_classes") * 100 + F.col("_index"), F.lit(_ALPHABET))
-    letters = F.call_function("translate", F.col("_sorted"), drop, F.lit(""))
-    key = F.xxhash64("_key", "_classes", "_index", letters)
-    return rows.withColumn("_key", key).drop("_sorted", "_classes", "_index", "_length")
+    return F.slice(agreeing, 1, F.size("_combination")) == F.col("_combination")

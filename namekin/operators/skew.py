@@ -1,9 +1,13 @@
 """Joins that stay balanced when one key holds a large share of all rows.
 
-Both forms count rows per hash bucket of the key and split heavy buckets into parts: the large side
-takes a part by a hash of the row, the other side is repeated once per part, and an ordinary join on key
-and part does the rest. Only the table of parts is broadcast; it has at most ``HASH_BUCKETS`` rows of
-two integers, whatever the data.
+Both forms find the heavy keys, those with more than a stated number of rows, and split these alone: the
+large side takes a part by a hash of the row, the other side is repeated once per part, and an ordinary join
+on key and part does the rest. Light keys are never repeated, however many there are.
+
+Heavy keys come from known counts, or from a sketch of the most frequent keys: each task sums up its rows in
+at most ``TRACKED`` counters, and the sketches are merged in two steps. A key with more than about
+``4 / TRACKED`` of all rows is never missed, and what is missed is a small share of one task's work at any
+size. The table of heavy keys is broadcast; it has at most ``HEAVIEST`` rows of two numbers, whatever the data.
 """
 
 from __future__ import annotations
@@ -13,24 +17,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_ROWS_PER_KEY = 1_000_000
-HASH_BUCKETS = 1 << 17
-
+HEAVIEST, TRACKED = 10_000, 1 << 14
+#: Sketches that are merged at the same time before the last merge.
+MERGED_APART = 64
 
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS)).cast("int").alias("_bucket")
 
+def _heavy_keys(rows: DataFrame, keys: Sequence[str], max_rows: int, weight: str | None = None) -> DataFrame:
+    """``(_hash, _parts)``: hashes of the keys with more than ``max_rows`` rows, the ``HEAVIEST`` of them.
 
-def _parts(
-    counted: DataFrame, bucket: Column, max_rows: int, weight: str | None = None
-) -> DataFrame:
-    """``(_bucket, _parts)`` of the buckets with more than ``max_rows`` rows, marked for broadcast."""
-    amount = F.sum(weight) if weight else F.count(F.lit(1))
-    return F.broadcast(
-        counted.groupBy(bucket)
-        .agg(amount.alias("_rows"))
-        .filter(F.col("_rows") > max_rows)
-        .select("_bucket", F.ceil(F.col("_rows") / max_rows).cast("int").alias("_parts"))
-    )
+    ``rows`` has a row per row of the table, or, with ``weight``, keys with their number of rows in that column.
+    """
+    hashed = F.xxhash64(*keys).alias("_hash")
+    if weight is None:
+        some = F.pmod(F.spark_partition_id(), F.lit(MERGED_APART)).alias("_some")
+        sketched = rows.select(hashed, some).groupBy("_some").agg(F.expr(f"approx_top_k_accumulate(_hash, {TRACKED})").alias("_sketch"))
+        merged = sketched.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_sketch, {TRACKED})").alias("_sketch"))
+        found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {HEAVIEST})")).alias("_key"))
+        counted = found.select(F.col("_key.item").alias("_hash"), F.col("_key.count").alias("_rows")).filter(F.col("_rows") > max_rows)
+    else:
+        counted = rows.groupBy(hashed).agg(F.sum(weight).alias("_rows")).filter(F.col("_rows") > max_rows)
+        counted = counted.orderBy(F.desc("_rows")).limit(HEAVIEST)
+    return counted.select("_hash", F.ceil(F.col("_rows") / max_rows).cast("int").alias("_parts"))
 
 
 def join_lookup(
@@ -47,24 +54,22 @@ def join_lookup(
     """``big`` joined (inner or left) to a table with few rows per key, in one shuffle of ``big``.
 
     ``counts`` may hold the keys with their number of rows in column ``weight``; otherwise the keys of
-    ``big`` are counted first. Copies of a row share key and part, so ``distinct`` removes repeated
+    ``big`` are sketched first. Copies of a row share key and part, so ``distinct`` removes repeated
     rows of the result after the join, in the same partitioning.
     """
     keys = list(keys)
     known = counts if counts is not None else big.select(*keys)
-    splits = _parts(known, _bucket(keys), max_rows, weight if counts is not None else None)
+    heavy = F.broadcast(_heavy_keys(known, keys, max_rows, weight if counts is not None else None))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = (
-        big.select("*", _bucket(keys))
-        .join(splits, "_bucket", "left")
+        big.withColumn("_hash", F.xxhash64(*keys)).join(heavy, "_hash", "left")
         .withColumn("_part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), parts).cast("int"))
-        .drop("_bucket", "_parts")
+        .drop("_hash", "_parts")
     )
     right = (
-        lookup.select("*", _bucket(keys))
-        .join(splits, "_bucket", "left")
+        lookup.withColumn("_hash", F.xxhash64(*keys)).join(heavy, "_hash", "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_bucket", "_parts")
+        .drop("_hash", "_parts")
     )
     if null_safe:
         # Hash and part alone decide the partitioning, so that distinct can use it; the keys are compared
@@ -88,25 +93,33 @@ def split_blocks(
     block: str,
     spread: Column,
     max_rows: int = MAX_ROWS_PER_KEY,
+    other_spread: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Add ``_part`` to both sides of a many-to-many join whose keys refine ``block`` (a long).
+    """Add ``_part`` and ``_other_part`` to both sides of a many-to-many join on ``block`` (a long).
 
-    A bucket of ``big`` above ``max_rows`` is split into parts by a hash of ``spread``, which must
-    differ between the rows of a block; the rows of ``small`` are repeated once per part. Join on the
-    key and ``_part``.
+    A block with more than ``max_rows`` rows on a side is cut there into parts by a hash of ``spread`` (of
+    ``other_spread`` on the side ``small``, which is left whole without it), and the rows of the other side
+    are repeated once per part: a grid in which every pair meets once. The spreads must differ between the
+    rows of a block. Join on the block and both parts.
     """
-    splits = _parts(big, _bucket([block]), max_rows)
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    own = _heavy_keys(big.select(block), [block], max_rows).withColumnRenamed("_parts", "_own")
+    if other_spread is None:
+        grid = own.withColumn("_others", F.lit(1))
+    else:
+        others = _heavy_keys(small.select(block), [block], max_rows).withColumnRenamed("_parts", "_others")
+        grid = own.join(others, "_hash", "full").na.fill(1, ["_own", "_others"])
+    grid = F.broadcast(grid)  # at most twice HEAVIEST rows
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
+    part_of = lambda x, n: F.pmod(F.xxhash64(x), F.coalesce(F.col(n), F.lit(1))).cast("int")
     split = (
-        big.select("*", _bucket([block]))
-        .join(splits, "_bucket", "left")
-        .withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int"))
-        .drop("_bucket", "_parts")
+        big.withColumn("_hash", F.xxhash64(block)).join(grid, "_hash", "left")
+        .withColumn("_part", part_of(spread, "_own"))
+        .withColumn("_other_part", all_of("_others")).drop("_own", "_others", "_hash")
     )
+    one = F.lit(0) if other_spread is None else part_of(other_spread, "_others")
     repeated = (
-        small.select("*", _bucket([block]))
-        .join(splits, "_bucket", "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("_bucket", "_parts")
+        small.withColumn("_hash", F.xxhash64(block)).join(grid, "_hash", "left")
+        .withColumn("_other_part", one)
+        .withColumn("_part", all_of("_own")).drop("_own", "_others", "_hash")
     )
     return split, repeated
