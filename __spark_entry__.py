@@ -13,17 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 import oracles as sql  # noqa: E402
 from namekin.functions import text  # noqa: E402
 from namekin.functions.similarity import Similarity  # noqa: E402
-from namekin.operators import attach, blocking, cleaning, parents, spelling, vocabulary  # noqa: E402
+from namekin.operators import attach, blocking, cleaning, moving_window, parents, spelling, vocabulary  # noqa: E402
 from namekin.operators.positions import neighbour_frames, with_positions  # noqa: E402
 from namekin.plans.matching import Settings, match_parents  # noqa: E402
 from namekin.sources import tables  # noqa: E402
 from namekin.sources.scratch import scratch_path, written  # noqa: E402
 
-try:  # the corpus operators may be left out of an installation
+HERE = os.path.dirname(os.path.abspath(__file__))
+corpus = corpus_pipeline = None
+# The corpus operators may be left out of an installation; if they are there, they must import.
+if all(os.path.exists(os.path.join(HERE, *p.split("/"))) for p in ("corpus_pipeline.py", "namekin/llm/queries.py")):
     import corpus_pipeline  # noqa: E402
     from namekin.llm import queries as corpus  # noqa: E402
-except ImportError:
-    corpus = corpus_pipeline = None
 
 DAY = "2001-08-01"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -322,6 +323,56 @@ def delimited_roundtrip(spark, sf_dir):
     return tables.read_delimited(spark, path, rows.schema)
 
 
+def single_file_roundtrip(spark, sf_dir):
+    """One file from many tasks, read again; the parts keep their order."""
+    path = scratch_path(spark, "single")
+    rows = table(spark, sf_dir, "conversations").repartitionByRange(7, "conv_id")
+    tables.write_delimited(rows, path, single_file=True)
+    return tables.read_delimited(spark, path, rows.schema)
+
+
+def quoted_line_breaks(spark, sf_dir):
+    """Texts with line breaks, quotes and separators, written by other rules than ours, in several splits."""
+    path = scratch_path(spark, "quoted")
+    rows = table(spark, sf_dir, "documents")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    text = F.concat(F.lit('C:\\new\\road "'), "text", F.lit('",\r\n'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quote(text), F.coalesce("lang", F.lit("")))
+    rows.select(line.alias("value")).write.text(path)
+    read = tables.read_delimited(spark, path, "doc_id long, text string, lang string", separator=",")
+    return read.select("doc_id", "lang", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+def rejected_rows(spark, sf_dir):
+    """Rows with too few or too many fields, or a value of the wrong kind, are told apart and counted."""
+    path = scratch_path(spark, "foreign")
+    key = F.col("o_orderkey")
+    fields = [
+        F.when(key % 31 == 0, "none").otherwise(key.cast("string")), F.concat(F.lit('"'), F.col("o_custkey").cast("string")),
+        F.when(key % 17 == 0, F.lit(None)).otherwise("x"), F.when(key % 23 == 0, "more"),
+    ]
+    table(spark, sf_dir, "orders").select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+    read = tables.read_delimited(spark, path, "id long, name string, mark string", quote=None, bad_rows="column")
+    good, bad = tables.good_rows(read), tables.rejected(read)
+    return good.agg(
+        F.count(F.lit(1)).alias("n_good"), F.sum("id").alias("sum_id"), F.sum(F.length("name")).alias("name_chars")
+    ).crossJoin(bad.agg(F.count(F.lit(1)).alias("n_bad"), F.sum(F.length("record")).alias("bad_chars")))
+
+
+WINDOWS = [("2000-02-01", "2001-02-01"), ("2000-08-01", "2001-08-01")]
+
+
+def moving_window_counts(spark, sf_dir):
+    """Counts of a later window from those of an earlier one and the days in one of the two."""
+    state = scratch_path(spark, "days")
+    rows = records(spark, sf_dir).withColumnRenamed("raw_name", "name")
+    for first, end in (("1990-01-01", "2000-10-01"), ("2000-10-01", "2010-01-01")):  # two runs, each with its new days
+        new = rows.filter((F.col("as_of") >= F.lit(first).cast("date")) & (F.col("as_of") < F.lit(end).cast("date")))
+        moving_window.store_days(moving_window.daily_counts(new, ["name", "market"]), state)
+    before = moving_window.window_counts(moving_window.stored_days(spark, state, *WINDOWS[0]))
+    return moving_window.move(spark, before, state, *WINDOWS)
+
+
 def table_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "table")
     rows = clean_names_orders(spark, sf_dir)
@@ -455,6 +506,10 @@ def _name_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "renamed_columns": renamed_columns,
         "csv_roundtrip": csv_roundtrip,
         "delimited_roundtrip": delimited_roundtrip,
+        "single_file_roundtrip": single_file_roundtrip,
+        "quoted_line_breaks": quoted_line_breaks,
+        "rejected_rows": rejected_rows,
+        "moving_window_counts": moving_window_counts,
         "table_roundtrip": table_roundtrip,
         "corrections_roundtrip": corrections_roundtrip,
         "matched_records": matched_records,
@@ -539,6 +594,20 @@ def _name_sql() -> dict[str, str]:
             FROM orders JOIN customer ON o_custkey = c_custkey
             WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')
             AND o_orderdate >= DATE '{DAY}' - INTERVAL 12 MONTH""",
+        "single_file_roundtrip": "SELECT * FROM conversations",
+        "quoted_line_breaks": """WITH t AS (SELECT doc_id, lang, 'C:\\new\\road "' || text || '",' || chr(13) || chr(10) AS text FROM documents)
+            SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS digest FROM t""",
+        "rejected_rows": """WITH fields AS (SELECT o_orderkey AS k, '"' || CAST(o_custkey AS VARCHAR) AS name,
+                CASE WHEN o_orderkey % 31 = 0 THEN 'none' ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+                CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE 'x' END AS mark,
+                CASE WHEN o_orderkey % 23 = 0 THEN 'more' END AS more FROM orders),
+            rows_ AS (SELECT k, name, concat_ws(chr(9), id, name, mark, more) AS line, k % 31 <> 0 AND
+                (mark IS NULL) = (more IS NOT NULL) AS good FROM fields)
+            SELECT count(*) FILTER (good) AS n_good, sum(k) FILTER (good) AS sum_id, sum(length(name)) FILTER (good) AS name_chars,
+                count(*) FILTER (NOT good) AS n_bad, sum(length(line)) FILTER (NOT good) AS bad_chars FROM rows_""",
+        "moving_window_counts": f"""SELECT c_name AS name, c_mktsegment AS market, count(*) AS freq
+            FROM orders JOIN customer ON o_custkey = c_custkey
+            WHERE o_orderdate >= DATE '{WINDOWS[1][0]}' AND o_orderdate < DATE '{WINDOWS[1][1]}' GROUP BY ALL""",
         "clean_names_orders": clean_records,
         "clean_names_sentences": clean_sentences,
         "path_prefix_clean": f"""SELECT page_id, split_part(url, '/', 1) AS before_slash, name_clean
