@@ -11,9 +11,10 @@ similarity as probability, and the register-wise maximum is the sketch of the un
 3. Pairs are first estimated by joint likelihood of their registers, then confirmed on the full sets.
 4. Confirmed links give components. The members compared with one document form its group. Groups that
    still hold several components are looked at once more, across components only, so no link is lost
-   to the choice of step 2. Up to ``SMALL_GROUP`` members all pairs are compared. A larger group is cut into
-   groups by the rare elements that linked members must share, again and again until they are small, so
-   members that only have a template in common never meet (exact, see ``_refined``).
+   to the choice of step 2. Up to ``SMALL_GROUP`` members all pairs are compared. In a larger group exact bounds
+   on shared differences first take out whoever is linked to nobody, as are members that only have a
+   template in common, and connect what lies around the centre; the rest is compared in blocks
+   (see ``_pairs_within``).
 
 At similarity 0.8 a pair shares no band with probability ``(1 - 0.8**8)**80``, about 4e-7.
 
@@ -31,6 +32,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
@@ -53,6 +55,10 @@ BASE, RATE, TOP = 1.001, 20.0, 65534
 MARGIN = 0.22
 #: Members of a group up to which all pairs across components are compared.
 SMALL_GROUP = 8
+#: Members, their listed elements, and columns of a block that are compared by one matrix product.
+TOGETHER, ELEMENTS_TOGETHER, COLUMNS_TOGETHER = 1000, 1 << 20, 1 << 12
+#: Sets of n and m elements are linked if FAR times the elements in only one is at most NEAR times n + m.
+NEAR, FAR = 100 - PERCENT, 100 + PERCENT
 #: Largest set of ids that is broadcast to pick texts.
 BROADCAST_IDS = 1_000_000
 
@@ -248,15 +254,6 @@ def _pairs_across(stars: DataFrame, found: DataFrame, docs: DataFrame, size: int
     return reduce(DataFrame.union, pairs).distinct()
 
 
-def _pairs_within(groups: DataFrame) -> list[DataFrame]:
-    """Pairs ``(a, b)`` of members of large groups, enough to connect all that are linked."""
-    pairs = []
-    while not groups.isEmpty():
-        close, small, groups = _refined(groups)
-        pairs.append(written(close.union(_all_pairs(small)), "across"))
-    return pairs
-
-
 GROUP = ["g", "b", "c", "n", "diff"]
 
 
@@ -274,22 +271,21 @@ def _all_pairs(small: DataFrame) -> DataFrame:
     return met.select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
 
 
-def _refined(groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One round on large groups ``(g, b, c, n, diff)``: sets of n elements, as differences to a set of the group.
-
-    The common set is first moved to the majority: an element in more than half of the differences is
-    turned over in all of them. With d elements left in a difference let ``s = (100 + PERCENT) d -
-    (100 - PERCENT) n``. Members x and y are linked if and only if their differences share at least
-    ``(s_x + s_y) / (2 (100 + PERCENT))`` elements. So, exactly:
-
-    * where ``s_x + s_y <= 0`` they are linked, and both are with the member of the smallest s; pairs with
-      that one make one component of all of these;
-    * else they share at least one element, and at least o, that bound with the smallest s for one of them. Then
-      they share one of the rarest ``m - o + 1`` of the m elements that a member shares with anybody.
-
-    These elements make the groups of the next round, each at most half as large. Groups of the same members
-    are kept once. Returns pairs with the most central members, members of the new groups of at most
-    ``SMALL_GROUP`` and those of larger ones.
+def _pairs_within(groups: DataFrame) -> list[DataFrame]:
+    """Pairs ``(a, b)`` of members of large groups ``(g, b, c, n, diff)`` that connect all that are linked.
+
+    A member is a set of n elements, given as difference to a set of the group. The common set is first moved
+    to the majority: an element in more than half of the differences is turned over in all of them. With
+    d elements left in a difference let ``s = (100 + PERCENT) d - (100 - PERCENT) n``. Members x and y are linked
+    if and only if their differences share at least ``(s_x + s_y) / (2 (100 + PERCENT))`` elements. So, exactly:
+
+    * where ``s_x + s_y <= 0`` they are linked, and both are with the member of the smallest s, the centre; its
+      pairs make one component of all of these;
+    * else they share elements. A member that shares fewer elements with anybody than it would have to share
+      with the most central member of another component is linked to nobody and goes: so do the
+      rows of one template that have only the template in common;
+    * of what is left, members outside the centre's component are compared with all, in blocks of bounded size
+      by one matrix product each. A block gives a spanning forest of its links, never more pairs than members.
     """
     sizes = groups.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
     count = lambda rows: rows.select("g", F.explode("diff").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("f"))
@@ -298,36 +294,103 @@ def _refined(groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     most = written(most.withColumn("common", F.coalesce("common", F.array().cast("array<long>"))), "majority")
     moved = F.array_union(F.array_except("diff", "common"), F.array_except("common", "diff"))
     centred = join_lookup(groups, most, ["g"], counts=most, weight="size").withColumn("diff", moved)
-    near, far = 100 - PERCENT, 100 + PERCENT
-    centred = written(
-        centred.withColumn("s", far * F.size("diff").cast("long") - near * F.col("n")).select(*GROUP, "s", "size"), "centred"
-    )
+    d = F.size("diff").cast("long")
+    centred = written(centred.select(*GROUP, d.alias("d"), (FAR * d - NEAR * F.col("n")).alias("s")), "centred")
 
     centre = centred.groupBy("g").agg(F.min(F.struct("s", "b", "c")).alias("p"), F.count(F.lit(1)).alias("size"))
-    centre = written(centre.select("g", "size", F.col("p.s").alias("ps"), F.col("p.b").alias("pb"), F.col("p.c").alias("pc")), "centres")
-    placed = join_lookup(centred.drop("size"), centre, ["g"], counts=centre, weight="size")
+    centre = centre.select("g", "size", F.col("p.s").alias("ps"), F.col("p.b").alias("pb"), F.col("p.c").alias("pc"))
+    narrow = centred.select("g", "b", "c", "s")
+    outside = join_lookup(narrow, written(centre, "centres"), ["g"], counts=sizes, weight="size").filter("c <> pc")
+    nearest = outside.groupBy("g").agg(F.min("s").alias("qs"))
+    centre = written(centre.join(nearest, "g"), "centres")  # one component alone has nothing to look for
+    placed = join_lookup(centred, centre, ["g"], counts=centre, weight="size")
     close = placed.filter("s + ps <= 0 AND c <> pc").select(F.least("pb", "b").alias("a"), F.greatest("pb", "b").alias("b"))
 
     shared = written(count(centred).filter("f > 1"), "shared")
-    least = F.greatest(F.lit(1), F.ceil((F.col("s") + F.col("ps")) / (2 * far))).cast("int")
-    elements = placed.select("g", "b", least.alias("o"), F.explode("diff").alias("e"))
-    rare = join_lookup(elements, shared, ["g", "e"], counts=shared, weight="f").groupBy("g", "b", "o").agg(
-        F.sort_array(F.collect_list(F.struct("f", "e"))).alias("es")
-    )
-    rare = rare.filter(F.size("es") >= F.col("o")).select(
-        "g", "b", F.explode(F.slice("es", F.lit(1), F.size("es") - F.col("o") + 1)).alias("k")
+    other = F.when(F.col("c") == F.col("pc"), F.col("qs")).otherwise(F.col("ps"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("s") + other) / (2 * FAR))).cast("int")
+    elements = placed.select("g", "b", F.explode("diff").alias("e"))
+    known = join_lookup(elements, shared, ["g", "e"], counts=shared, weight="f").groupBy("g", "b").agg(
+        F.collect_list("e").alias("shared")
     )
-    rare = written(rare.select("g", "b", F.xxhash64("g", "k.e").alias("into")), "rare")
-    members = rare.join(centred.select("g", "b", "c"), ["g", "b"])
-    found = members.groupBy("into").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("b")).alias("who"), F.min("c").alias("low"), F.max("c").alias("high")
-    ).filter("low < high")
-    found = written(found.groupBy("size", "who").agg(F.min("into").alias("into")).select("into", "size"), "next")
-    dealt = join_lookup(rare, found, ["into"], counts=found, weight="size")
-    rows = dealt.join(centred.select(*GROUP), ["g", "b"]).select(F.col("into").alias("g"), "b", "c", "n", "diff", "size")
-    small = rows.filter(F.col("size") <= SMALL_GROUP).select("g", "b", "c")
-    large = written(rows.filter(F.col("size") > SMALL_GROUP).select(*GROUP), "groups")
-    return close, small, large
+    rest = placed.withColumn("least", least).drop("diff").join(known, ["g", "b"]).filter(F.size("shared") >= F.col("least"))
+    rest = written(rest.select("g", "b", "c", "n", "d", "shared", (F.col("c") != F.col("pc")).alias("out")), "rest")
+    return [written(close, "across"), written(_block_links(rest), "across")]
+
+
+def _block_links(rest: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of members that are ``out`` with members of other components, by blocks of their groups."""
+    pieces = lambda rows: F.greatest(
+        F.ceil(F.count_if(rows) / TOGETHER), F.ceil(F.sum(F.when(rows, F.size("shared"))) / ELEMENTS_TOGETHER), F.lit(1)
+    ).cast("int")
+    grid = rest.groupBy("g").agg(
+        F.count(F.lit(1)).alias("size"), pieces(F.col("out")).alias("nx"), pieces(F.lit(True)).alias("ny"),
+        F.count_if("out").alias("n_out"),
+    ).filter("n_out > 0")
+    dealt = join_lookup(rest, written(grid.select("g", "size", "nx", "ny"), "grid"), ["g"], counts=grid, weight="size")
+    part = lambda n: F.pmod(F.xxhash64("b"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["g", "b", "c", "n", "d", "shared"]
+    x = dealt.filter("out").select(*columns, F.lit(True).alias("x"), part("nx").alias("i"), every("ny").alias("j"))
+    y = dealt.select(*columns, F.lit(False).alias("x"), every("nx").alias("i"), part("ny").alias("j"))
+
+    def links(block: pa.Table) -> pa.Table:
+        return pa.table(dict(zip("ab", spanning_links(block))))
+
+    return x.union(y).groupBy("g", "i", "j").applyInArrow(links, "a long, b long").filter("a < b").distinct()
+
+
+def spanning_links(block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members, smaller id first, that connect all linked members of a block that are in different
+    components: sides ``x`` and not ``x``, with sizes ``n``, differences of ``d`` elements, ``shared`` of them listed."""
+    block = block.combine_chunks()
+    is_x = block.column("x").to_numpy()
+    lists = block.column("shared").combine_chunks()
+    lengths = pc.list_value_length(lists).to_numpy()
+    rows, values = np.repeat(np.arange(len(is_x)), lengths), lists.flatten().to_numpy()
+    kinds, column = np.unique(values, return_inverse=True)
+    on_both = np.ones(len(kinds), bool)
+    for side in (True, False):
+        on_both &= np.bincount(column[is_x[rows] == side], minlength=len(kinds)) > 0
+    place = np.cumsum(on_both) - 1
+    sides = [np.flatnonzero(is_x), np.flatnonzero(~is_x)]
+    within = np.zeros(len(is_x), np.int64)
+    for side in sides:
+        within[side] = np.arange(len(side))
+    both = np.zeros([len(s) for s in sides], np.float32)
+    for first in range(0, int(on_both.sum()), COLUMNS_TOGETHER):
+        some = on_both[column] & (place[column] >= first) & (place[column] < first + COLUMNS_TOGETHER)
+        parts = []
+        for k, side in enumerate(sides):
+            cells = some & (is_x[rows] == (k == 0))
+            part = np.zeros((len(side), COLUMNS_TOGETHER), np.float32)
+            part[within[rows[cells]], place[column[cells]] - first] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    b, c, n, d = (block.column(k).to_numpy() for k in ("b", "c", "n", "d"))
+    p, q = sides
+    apart = d[p][:, None] + d[q][None, :] - 2 * both.astype(np.int64)
+    linked = (FAR * apart <= NEAR * (n[p][:, None] + n[q][None, :])) & (c[p][:, None] != c[q][None, :])
+    left, right = np.nonzero(linked)
+    left, right = p[left], q[right]
+    _, codes = np.unique(c, return_inverse=True)  # one link for two components is enough
+    _, first = np.unique(codes[left] * (codes.max(initial=0) + 1) + codes[right], return_index=True)
+    top = list(range(int(codes.max(initial=0)) + 1))
+
+    def find(k: int) -> int:
+        while top[k] != k:
+            top[k] = top[top[k]]
+            k = top[k]
+        return k
+
+    kept = []
+    for k in first.tolist():
+        x, y = find(codes[left[k]]), find(codes[right[k]])
+        if x != y:
+            top[x] = y
+            kept.append(k)
+    left, right = b[left[kept]], b[right[kept]]
+    return np.minimum(left, right), np.maximum(left, right)
 
 
 def components(links: DataFrame, name: str = "links") -> DataFrame:
