@@ -70,7 +70,10 @@ class Similarity:
 
         At least ``longer - shorter`` characters of the longer string stay unmatched.
         """
-        l1, l2 = F.length(left), F.length(right)
+        return self.lengths_fit_each(F.length(left), F.length(right), threshold)
+
+    def lengths_fit_each(self, l1: Column, l2: Column, threshold: float) -> Column:
+        """The same for the lengths themselves."""
         longer = F.greatest(l1, l2)
         budget = self.unmatched_budget(threshold) + _SLACK
         return longer - F.least(l1, l2) <= longer * F.lit(budget)
@@ -86,7 +89,8 @@ class Similarity:
         for x, y in zip(*signatures):
             differing = differing + F.bit_count(x.bitwiseXOR(y))
         budget = self.unmatched_budget(threshold) + _SLACK
-        return (l1 + l2 - differing) * (1.0 / l1 + 1.0 / l2) >= 2 * (2 - budget) - _SLACK
+        either = 1.0 / F.greatest(l1, F.lit(1)) + 1.0 / F.greatest(l2, F.lit(1))
+        return (l1 + l2 - differing) * either >= 2 * (2 - budget) - _SLACK
 
     def score(
         self, left: list[str], right: list[str], threshold: float | None = None
@@ -108,33 +112,15 @@ class Similarity:
 
         return similarity.asNondeterministic()
 
-    def first_reaching(self, threshold: float) -> Callable[[Column | str, Column | str], Column]:
-        """Function of a string and an array of strings: index of the first element whose score
-        reaches ``threshold``, or -1.
-
-        Works in rounds over element 0, 1, ... so a row stops being scored once it has a hit.
-        """
+    def reaching(self, threshold: float) -> Callable[[Column | str, Column | str], Column]:
+        """Function of two string columns: whether their score reaches ``threshold``."""
         spec = self
 
-        @F.pandas_udf("int")
-        def first_similar(names: pd.Series, candidates: pd.Series) -> pd.Series:
-            left, right = names.to_numpy(), candidates.to_numpy()
-            sizes = np.fromiter(map(len, right), np.int64, len(right))
-            found = np.full(len(left), -1, np.int32)
-            open_rows = np.flatnonzero(sizes > 0)
-            step = 0
-            while len(open_rows):
-                scores = spec.score(
-                    [left[r] for r in open_rows], [right[r][step] for r in open_rows], threshold
-                )
-                hit = reaches(scores, threshold)
-                found[open_rows[hit]] = step
-                step += 1
-                open_rows = open_rows[~hit]
-                open_rows = open_rows[sizes[open_rows] > step]
-            return pd.Series(found)
-
-        return first_similar.asNondeterministic()
+        @F.pandas_udf("boolean")
+        def similar(left: pd.Series, right: pd.Series) -> pd.Series:
+            return pd.Series(reaches(spec.score(left.tolist(), right.tolist(), threshold), threshold))
+
+        return similar.asNondeterministic()
 
 
 def letter_signature(column: str) -> list[Column]:

@@ -99,7 +99,7 @@ def _differing(l1: Column, l2: Column, budget: float) -> Column:
 
     Beyond ``_ONE_CLASS`` rounded up to even numbers, beyond ``_TWO_CLASSES`` to one more, for fewer cases.
     """
-    shorter, longer = F.least(l1, l2), F.greatest(l1, l2)
+    shorter, longer = F.greatest(F.least(l1, l2), F.lit(1)), F.greatest(l1, l2, F.lit(1))
     left_over = budget - (longer - shorter) / longer
     count = (2 * F.floor(left_over / (1.0 / shorter + 1.0 / longer)) + longer - shorter).cast("int")
     rounded = F.when(count <= _ONE_CLASS, count).when(count <= _TWO_CLASSES, count + F.pmod(count, F.lit(2)))

@@ -1,9 +1,9 @@
 """Name counts over a moving window of months, from a state of daily counts.
 
 Counts of days add up, so a window is a sum of days. The state is a table of counts per day and key, one
-folder per day. A run counts the records of new days only; the counts of the next window are those of the last
+folder per month. A run counts the records of new days only; the counts of the next window are those of the last
 one, plus the days that enter, less the days that leave. The result is what a count of all records of the
-window would give.
+window would give. Only months with such days are read.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-DAY, COUNT = "day", "freq"
+from namekin.sources.scratch import written
+
+DAY, MONTH, COUNT = "day", "month", "freq"
 
 
 def daily_counts(records: DataFrame, keys: Sequence[str], date: str = "as_of") -> DataFrame:
@@ -21,22 +23,35 @@ def daily_counts(records: DataFrame, keys: Sequence[str], date: str = "as_of") -
     return rows.groupBy(*keys, DAY).agg(F.count(F.lit(1)).alias(COUNT)).select(*keys, COUNT, DAY)
 
 
+def _months(counts: DataFrame) -> DataFrame:
+    return counts.withColumn(MONTH, F.date_format(DAY, "yyyy-MM"))
+
+
 def store_days(counts: DataFrame, path: str) -> None:
     """Put daily counts into the state at ``path``. The days in ``counts`` replace what the state has of them,
-    so storing a day again does no harm; other days stay. Copies of a key on a day are added up."""
+    so storing a day again does no harm; other days stay. Copies of a key on a day are added up.
+
+    The months of these days are written anew, all others stay as they are.
+    """
+    spark = counts.sparkSession
     keys = [c for c in counts.columns if c not in (DAY, COUNT)]
-    merged = counts.groupBy(*keys, DAY).agg(F.sum(COUNT).alias(COUNT)).select(*keys, COUNT, DAY)
-    # a day goes to one task, or to several if it is large
-    writer = merged.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY)
+    new = written(counts.groupBy(*keys, DAY).agg(F.sum(COUNT).alias(COUNT)).select(*keys, COUNT, DAY), "new-days")
+    rows = _months(new)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        days = _months(new.select(DAY).distinct())  # at most one row per day
+        old = spark.read.parquet(path).withColumn(MONTH, F.col(MONTH).cast("string"))
+        old = old.join(F.broadcast(days.select(MONTH).distinct()), MONTH, "left_semi")
+        old = old.join(F.broadcast(days.select(DAY)), DAY, "left_anti")
+        rows = rows.unionByName(written(old.select(*rows.columns), "old-days"))
+    # a month goes to one task, or to several if it is large
+    writer = rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def stored_days(spark: SparkSession, path: str, first: str | None = None, end: str | None = None) -> DataFrame:
     """The state's counts of days from ``first`` up to, but not with, ``end``; other folders are not read."""
-    rows = spark.read.parquet(path).withColumn(DAY, F.col(DAY).cast("date"))
-    if first is not None:
-        rows = rows.filter(F.col(DAY) >= F.lit(first).cast("date"))
-    return rows.filter(F.col(DAY) < F.lit(end).cast("date")) if end is not None else rows
+    return _spans(spark, path, [(first or "0001-01-01", end or "9999-12-31")])
 
 
 def window_counts(days: DataFrame) -> DataFrame:
@@ -71,8 +86,8 @@ def move(spark: SparkSession, counts: DataFrame, state: str, old: tuple[str, str
 
 
 def _spans(spark: SparkSession, state: str, spans: list[tuple[str, str]]) -> DataFrame:
-    rows = stored_days(spark, state)
     inside = F.lit(False)
     for first, end in spans:
-        inside = inside | ((F.col(DAY) >= F.lit(first).cast("date")) & (F.col(DAY) < F.lit(end).cast("date")))
-    return rows.filter(inside)
+        month = F.col(MONTH).cast("string").between(first[:7], end[:7])
+        inside = inside | (month & (F.col(DAY) >= F.lit(first).cast("date")) & (F.col(DAY) < F.lit(end).cast("date")))
+    return spark.read.parquet(state).filter(inside).drop(MONTH)

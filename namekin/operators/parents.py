@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from namekin.functions.similarity import Similarity
+from namekin.functions.similarity import SIGNATURE_WORDS, Similarity, letter_signature
 from namekin.operators.positions import neighbour_frames, with_positions
 from namekin.sources.scratch import written
 
@@ -39,35 +39,45 @@ def best_neighbours(
     """
     if edge not in ("skip", "partial"):
         raise ValueError(f"unknown edge mode {edge!r}")
-    frames = neighbour_frames(positioned, _GROUPS, ["name", "freq"], rng, bucket_size)
+    # Frames hold positions, counts, lengths and letter signatures, no names: these are fetched for the pairs left.
+    letters = [f"_s{k}" for k in range(SIGNATURE_WORDS)]
+    described = positioned.withColumns({"_length": F.length("name"), **dict(zip(letters, letter_signature("name")))})
+    described = described.select(*_GROUPS, "pos", "n", "freq", "_length", *letters)
+    frames = neighbour_frames(described, _GROUPS, ["freq", "_length", *letters], rng, bucket_size)
     if edge == "skip":
         frames = frames.filter(F.col("pos").between(rng, F.col("n") - rng - 2))
 
     above = F.filter("neighbours", lambda x: x["freq"] > F.col("freq"))
     ranked = F.slice(F.sort_array(F.transform(
-        above, lambda x: F.struct((-x["freq"]).alias("order"), x["pos"], x["name"])
+        above, lambda x: F.struct((-x["freq"]).alias("order"), x["pos"], x["_length"], *[x[c] for c in letters])
     )), 1, rng)
 
     def usable(ranked):
         def keep(x, i):
             before = F.get(ranked, i - 1)["order"]
             first_of_freq = before.isNull() | (before != x["order"])
-            return first_of_freq & similarity.lengths_fit(F.col("name"), x["name"], threshold)
+            lengths = F.col("_length"), x["_length"]
+            alike = similarity.letters_fit(lengths, ([F.col(c) for c in letters], [x[c] for c in letters]), threshold)
+            return first_of_freq & similarity.lengths_fit_each(*lengths, threshold) & alike
 
-        return F.filter(ranked, keep)
+        return F.transform(F.filter(ranked, keep), lambda x: F.struct(x["order"], x["pos"]))
 
     # Built as one array value and unpacked by a generator: Catalyst can neither repeat parts of the
     # expression in filters below nor evaluate it twice.
     usable = F.filter(F.transform(F.array(ranked), usable), lambda u: F.size(u) > 0)
-    frames = frames.select(*_GROUPS, "pos", "name", "freq", F.explode(usable).alias("usable"))
-    pick = similarity.first_reaching(threshold)("name", F.transform("usable", lambda x: x["name"]))
-    chosen = frames.withColumn("pick", pick).filter(F.col("pick") >= 0)
-    target = F.get("usable", F.col("pick"))
-    return chosen.select(
-        *_GROUPS, "pos", "name", "freq",
-        target["pos"].alias("target_pos"),
-        target["name"].alias("target_name"),
-        (-target["order"]).alias("target_freq"),
+    frames = frames.select(*_GROUPS, "pos", "freq", F.explode(usable).alias("usable"))
+    pairs = frames.select(*_GROUPS, "pos", "freq", F.explode("usable").alias("other")).select(
+        *_GROUPS, "pos", "freq", F.col("other.order").alias("order"), F.col("other.pos").alias("target_pos")
+    )
+    names = positioned.select(*_GROUPS, "pos", "name")
+    pairs = _same(pairs, names, [*_GROUPS, "pos"], "inner")
+    named = names.withColumnsRenamed({"pos": "target_pos", "name": "target_name"})
+    pairs = _same(pairs, named, [*_GROUPS, "target_pos"], "inner")
+    similar = pairs.filter(similarity.reaching(threshold)("name", "target_name"))
+    best = F.min(F.struct("order", "target_pos", "target_name", "name", "freq")).alias("best")
+    return similar.groupBy(*_GROUPS, "pos").agg(best).select(
+        *_GROUPS, "pos", "best.name", "best.freq", "best.target_pos", "best.target_name",
+        (-F.col("best.order")).alias("target_freq"),
     )
 
 
