@@ -20,9 +20,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SLACK = 1e-9
 _MATRIX_WIDTH = 64
-# Strings up to this length are matched many pairs at a time. The work of that grows with the square of
-# the length; beyond, matching a pair by itself takes less time, as it is linear in the length.
+# Strings up to this length are matched by bits. The work of that grows with the square of the length; beyond,
+# positions are swept by character, pairs of about so many characters at a time.
 _BATCH_WIDTH = 512
+_SWEPT_CHARACTERS = 1 << 21
 _CHUNK_CELLS = 1 << 18
 # Characters counted by the letter signature: nine per 64-bit word, seven bits each.
 SIGNATURE_LETTERS = "etaoinsrhldcumfpgwybvkxjqz0123456789"
@@ -173,8 +174,13 @@ def _score(
                 [left[r] for r in rows], [right[r] for r in rows], len1[rows], len2[rows], spec.variant
             )
         width *= 2
-    for row in long[longest[long] > _BATCH_WIDTH]:
-        matches[row], swaps[row] = _match_long(left[row], right[row], spec.variant)
+    longer = long[longest[long] > _BATCH_WIDTH]
+    ends = np.cumsum(len1[longer] + len2[longer])
+    for part in np.split(longer, np.flatnonzero(np.diff(ends // _SWEPT_CHARACTERS)) + 1):
+        if len(part):
+            matches[part], swaps[part] = _match_swept(
+                [left[r] for r in part], [right[r] for r in part], len1[part], len2[part], spec.variant
+            )
 
     some = matches > 0
     m = np.where(some, matches, 1.0)
@@ -295,25 +301,39 @@ def _match_wide(left, right, len1, len2, variant):
     return _weighed(a, b, used1, used2, len1, variant)
 
 
-def _match_long(a: str, b: str, variant: str) -> tuple[int, float]:
-    """The same for one pair of long strings, in time linear in their lengths.
+def _match_swept(left, right, len1, len2, variant):
+    """The same for strings of any length: positions by character, swept once for all pairs together.
 
-    The search window only moves right, so each character's positions are used up in order.
+    The search window only moves right, so the positions of a character are used up in order, in each string:
+    a step either matches the next two or leaves one behind. All characters of all pairs step together.
     """
-    reach = max(max(len(a), len(b)) // 2 - 1, 0)
-    waiting: dict[str, list[int]] = {}
-    for j in range(len(b) - 1, -1, -1):
-        waiting.setdefault(b[j], []).append(j)
-    at1, at2 = [], []
-    for i, char in enumerate(a):
-        queue = waiting.get(char)
-        while queue and queue[-1] < i - reach:
-            queue.pop()
-        if queue and queue[-1] <= i + reach:
-            at1.append(i)
-            at2.append(queue.pop())
-    at2.sort()
-    pairs = ((i, a[i] != b[j]) for i, j in zip(at1, at2))
+    reach = np.maximum(np.maximum(len1, len2) // 2 - 1, 0)
+    codes, pairs, places, orders, keys = [], [], [], [], []
+    for strings, lengths in ((left, len1), (right, len2)):
+        codes.append(np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64))
+        pairs.append(np.repeat(np.arange(len(strings)), lengths))
+        places.append(np.arange(len(codes[-1])) - np.repeat(np.cumsum(lengths) - lengths, lengths))
+        key = (pairs[-1] << 21) | codes[-1]
+        orders.append(np.argsort(key, kind="stable"))
+        keys.append(key[orders[-1]])
+    p, q = places[0][orders[0]], places[1][orders[1]]
+    both = np.intersect1d(*keys)
+    (i, end_i), (j, end_j) = ([np.searchsorted(k, both, side) for side in ("left", "right")] for k in keys)
+    window = reach[both >> 21]
+    used = [np.zeros(len(c), bool) for c in codes]
+    while len(i):
+        ahead = q[j] - p[i]
+        hit = np.abs(ahead) <= window
+        used[0][orders[0][i[hit]]] = True
+        used[1][orders[1][j[hit]]] = True
+        i, j = i + (ahead >= -window), j + (ahead <= window)
+        left_over = (i < end_i) & (j < end_j)
+        if not left_over.all():
+            i, j, end_i, end_j, window = (x[left_over] for x in (i, j, end_i, end_j, window))
+    first, second = (np.flatnonzero(u) for u in used)
+    pair, differ = pairs[0][first], codes[0][first] != codes[1][second]
+    weight = differ.astype(float)
     if variant == "notebook":
-        return len(at1), sum(0.5 ** (len(a) - i) for i, differ in pairs if differ)
-    return len(at1), float(sum(differ for _, differ in pairs))
+        weight *= 0.5 ** np.minimum(len1[pair] - places[0][first], 1100)
+    n = len(left)
+    return np.bincount(pair, minlength=n).astype(float), np.bincount(pair, weights=weight, minlength=n)

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from namekin.functions import similarity
 from namekin.functions.similarity import Similarity
 from plain_rules import jaro_winkler
 
@@ -47,7 +48,7 @@ def test_batch_scores_equal_plain_rule(spec, options, longest):
 
 
 @pytest.mark.parametrize("spec,options", SPECS)
-@pytest.mark.parametrize("longest", [65, 128, 500, 2000, 2300])
+@pytest.mark.parametrize("longest", [65, 128, 500, 513, 2000, 2300])
 def test_long_strings_equal_plain_rule(spec, options, longest):
     rnd = random.Random(longest)
     pairs = random_pairs(12, longest, seed=longest)
@@ -60,6 +61,39 @@ def test_long_strings_equal_plain_rule(spec, options, longest):
     np.testing.assert_allclose(got, want, rtol=0, atol=1e-12)
 
 
+def one_pair(a, b, notebook):
+    """Matches and out-of-order weight of one pair, in time linear in the lengths."""
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    waiting = {}
+    for j in range(len(b) - 1, -1, -1):
+        waiting.setdefault(b[j], []).append(j)
+    at = []
+    for i, char in enumerate(a):
+        queue = waiting.get(char, [])
+        while queue and queue[-1] < i - reach:
+            queue.pop()
+        if queue and queue[-1] <= i + reach:
+            at.append((i, queue.pop()))
+    found = zip([i for i, _ in at], sorted(j for _, j in at))
+    return len(at), sum((0.5 ** (len(a) - i) if notebook else 1.0) for i, j in found if a[i] != b[j])
+
+
+@pytest.mark.parametrize("variant", ["standard", "notebook"])
+def test_very_long_strings_in_one_sweep(variant):
+    rnd = random.Random(3)
+    pairs = [("a" * 20_000, "a" * 19_000), ("a" * 513, "b" * 600), ("a" * 600, "ba" * 300)]
+    for size in (513, 2000, 20_000):
+        for letters in ("ab", "abcdefgh é漢", "".join(map(chr, range(200, 900)))):
+            text = "".join(rnd.choice(letters) for _ in range(size))
+            other = list(text[: size - size // 7])
+            rnd.shuffle(other)
+            pairs += [(text, "".join(other)), (text, text[::-1]), (text[: size // 2], text)]
+    lengths = [np.array([len(p[k]) for p in pairs]) for k in (0, 1)]
+    got = similarity._match_swept([a for a, _ in pairs], [b for _, b in pairs], *lengths, variant)
+    want = [one_pair(a, b, variant == "notebook") for a, b in pairs]
+    np.testing.assert_allclose(np.column_stack(got), want, rtol=1e-12)
+
+
 def test_known_values():
     pairs = [("abcdef", "abcdefgh"), ("abcde", "abcdefghij"), ("abc", "abd"), ("", ""), ("a", "a")]
     got = Similarity().score(*map(list, zip(*pairs)))
