@@ -93,37 +93,38 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str) -
 def follow_pointers(pointers: DataFrame, groups: Sequence[str] = _GROUPS) -> DataFrame:
     """Final target of every pointer: ``(groups, pos, target_pos, target_name)``.
 
-    A pointer to an earlier row takes over what that row points to; a pointer to a later row ends
-    there. Pointer jumping halves the open chains each round. A round works on rows that are still
-    open and on the rows they name, and writes only the open ones, so rounds shrink. Frequency
-    rises along a chain, so there are no cycles.
+    A pointer to an earlier row takes over what that row points to; a pointer to a later row, or to one that
+    points nowhere, ends there. A round lets open rows jump to the target of their target, and then closes
+    those whose target was closed in the round before. An open row can only point to a row that is open or
+    was closed in the last round, so a round reads these two and no others, and both shrink: the closed
+    part of a chain doubles each round. Frequency rises along a chain, so there are no cycles.
     """
     keys = [*groups, "pos"]
     columns = [*keys, "target_pos", "target_name", "open"]
+
+    def targets(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *groups, F.col("pos").alias("target_pos"), F.col("target_pos").alias("next_pos"),
+            F.col("target_name").alias("next_name"), F.col("open").alias("next_open"),
+        )
+
+    def taken_over(rows: DataFrame, ahead: DataFrame, opened, over) -> DataFrame:
+        """``over`` tells from what was found at the target whether it is taken over, ``opened`` whether it stays open."""
+        found = _same(rows, targets(ahead), [*groups, "target_pos"], "left")
+        pick = lambda new, old: F.when(over, F.col(new)).otherwise(F.col(old)).alias(old)
+        return found.select(*keys, pick("next_pos", "target_pos"), pick("next_name", "target_name"), opened.alias("open"))
+
     start = pointers.withColumn("open", F.col("target_pos") < F.col("pos")).select(*columns)
     latest = written(start, "pointers")
-    closed = []
-    while not latest.filter("open").isEmpty():
-        closed.append(latest.filter(~F.col("open")))
-        opened = latest.filter("open")
-        state = opened
-        for part in closed:
-            state = state.unionByName(part)
-        named = opened.select(*groups, F.col("target_pos").alias("pos")).distinct()
-        ahead = _same(state, named, keys, "left_semi").select(
-            *groups,
-            F.col("pos").alias("target_pos"),
-            F.col("target_pos").alias("next_pos"),
-            F.col("target_name").alias("next_name"),
-            F.col("open").alias("next_open"),
-        )
-        step = _same(opened, ahead, [*groups, "target_pos"], "left").select(
-            *keys,
-            F.coalesce("next_pos", "target_pos").alias("target_pos"),
-            F.coalesce("next_name", "target_name").alias("target_name"),
-            F.coalesce("next_open", F.lit(False)).alias("open"),
-        )
-        latest = written(step, "pointers")
+    closed = [latest.filter(~F.col("open"))]
+    still = F.coalesce("next_open", F.lit(False))
+    latest = written(taken_over(latest.filter("open"), latest, still, ~F.coalesce("next_open", F.lit(True))), "pointers")
+    while not (opened := latest.filter("open")).isEmpty():
+        fresh = latest.filter(~F.col("open"))
+        closed.append(fresh)
+        found = F.col("next_pos").isNotNull()
+        jumped = taken_over(opened, opened, F.lit(True), found)
+        latest = written(taken_over(jumped, fresh, ~found, found), "pointers")
     result = latest
     for part in closed:
         result = result.unionByName(part)

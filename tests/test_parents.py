@@ -84,3 +84,26 @@ def test_positions_do_not_depend_on_partitions(spark, partitions):
         assert [p for p, _, _ in found] == list(range(len(found)))
         assert [x for _, x, _ in found] == sorted(x for _, x, _ in found)
         assert {n for _, _, n in found} == {len(found)}
+
+
+def test_rounds_read_open_rows_and_the_last_closed_ones(spark, monkeypatch):
+    from namekin.operators import parents as module
+
+    sizes = []
+
+    def counted(df, label):
+        out = written(df, label)
+        sizes.append((out.count(), out.filter("open").count()))
+        return out
+
+    written = module.written
+    monkeypatch.setattr(module, "written", counted)
+    n = 1000
+    rows = [("m", False, k, k - 1 if k else 5000, f"name{k - 1 if k else 5000}") for k in range(n)]
+    rows += [("m", False, 2000 + k, 1500, "name1500") for k in range(50)]  # to a row that points nowhere
+    df = spark.createDataFrame(rows, "market string, blank boolean, pos long, target_pos long, target_name string")
+    got = {r["pos"]: (r["target_pos"], r["target_name"]) for r in module.follow_pointers(df).collect()}
+    assert got == {k: (5000, "name5000") for k in range(n)} | {2000 + k: (1500, "name1500") for k in range(50)}
+    assert len(sizes) <= 13
+    for (_, open_before), (now, _) in zip(sizes, sizes[1:]):
+        assert now == open_before
