@@ -56,7 +56,7 @@ MARGIN = 0.22
 #: Members of a group up to which all pairs across components are compared.
 SMALL_GROUP = 8
 #: Members, their listed elements, and columns of a block that are compared by one matrix product.
-TOGETHER, ELEMENTS_TOGETHER, COLUMNS_TOGETHER = 1000, 1 << 20, 1 << 12
+TOGETHER, ELEMENTS_TOGETHER, COLUMNS_TOGETHER = 400, 1 << 17, 1 << 10
 #: Sets of n and m elements are linked if FAR times the elements in only one is at most NEAR times n + m.
 NEAR, FAR = 100 - PERCENT, 100 + PERCENT
 #: Largest set of ids that is broadcast to pick texts.
