@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Splits up to which their parities are broadcast; beyond it the lines are shuffled and sorted instead.
 BROADCAST_SPLITS = 100_000
-#: Files with a record in several splits up to which only these files are read for the fragments.
+#: Files with a record in several splits up to which only the lines of these files are joined for the fragments.
 FILES_LISTED = 1000
 RECORD, HEAD, TAIL = 0, 1, 2
 NAMES = ["kind", "file", "start", "first", "record"]
@@ -58,9 +58,10 @@ def records(
     whole = pieces.filter(F.col("kind") == RECORD)
     if splits is not None:
         broken = splits.filter("(parity + odd) % 2 = 1").select("file").distinct()
-        names = [r["file"] for r in broken.limit(FILES_LISTED + 1).collect()]
-        if names:
-            some = lines.filter(F.col("file").isin(names)) if len(names) <= FILES_LISTED else lines
+        found = broken.limit(FILES_LISTED + 1).count()
+        if found:
+            # A join, not a filter by name: that would leave out files before they are split, and so change the splits.
+            some = lines.join(F.broadcast(broken), "file", "left_semi") if found <= FILES_LISTED else lines
             whole = whole.unionByName(_stitched(_pieces(some, splits, quote).filter(F.col("kind") != RECORD)))
     return _cleaned((whole.filter("NOT first") if header else whole).select("record", "file"), blank_lines)
 

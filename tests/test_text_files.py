@@ -32,6 +32,20 @@ def test_quoted_line_breaks_over_several_splits(spark, tmp_path, small_splits, m
     assert sorted(map(tuple, got.collect())) == [(k, name or None, m) for k, name, m in rows]
 
 
+def test_some_files_with_records_over_several_splits(spark, tmp_path):
+    """The size of a split depends on all files read, so the files looked at again are split as before."""
+    rows = [(k, "plain " * 20) for k in range(4000)]
+    rows[100] = (100, "long\nvalue\n" * 20_000)
+    for part in range(8):
+        pd.DataFrame(rows[part * 500:part * 500 + 500], columns=["n", "name"]).to_csv(tmp_path / f"{part}.csv", index=False)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = sorted(map(tuple, tables.read_csv(spark, str(tmp_path), "n long, name string").collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == rows
+
+
 def test_bad_rows(spark, tmp_path):
     text = '\ufeffn,a\r\n1,x\r\n2\r\n3,y,z\r\n\r\nw,q\r\n4,"long\r\nvalue"\r\n5,""\r\n6,"open\r\n7,x'
     (tmp_path / "b.csv").write_text(text, newline="")
