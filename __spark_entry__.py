@@ -239,15 +239,19 @@ def parents_global_notebook(spark, sf_dir):
 def with_parents(key: str):
     def query(spark, sf_dir):
         rows = cleaning.clean_names(records(spark, sf_dir))
-        found = parents.assign_parents(vocabulary.name_frequency(rows))
-        return attach.attach_parents(rows, found, key)
+        return counted_with_parents(rows, key)
     return query
 
 
+def counted_with_parents(rows: DataFrame, key: str) -> DataFrame:
+    """Names are counted once, for the parents and for the heavy keys of the attach step."""
+    names = written(vocabulary.name_frequency(rows), "names")
+    counts = names.select(F.col("name").alias("name_clean"), "market", F.col("freq").alias("n"))
+    return attach.attach_parents(rows, parents.assign_parents(names), key, counts=counts)
+
+
 def sentences_with_parents_name_only(spark, sf_dir):
-    rows = cleaning.clean_names(sentences(spark, sf_dir))
-    found = parents.assign_parents(vocabulary.name_frequency(rows))
-    return attach.attach_parents(rows, found, "name")
+    return counted_with_parents(cleaning.clean_names(sentences(spark, sf_dir)), "name")
 
 
 def frequency_bands_before(spark, sf_dir):

@@ -146,12 +146,28 @@ def assign_parents(
     its own; with
     ``per_market=False`` it holds ``(name, freq)`` and all names are matched together.
     """
+    positioned, found = other_parents(names, rng, threshold, similarity, edge, bucket_size, per_market)
+    matched = _same(positioned, found.drop("name"), ["market", "blank", "pos"], "left").select(
+        "name", "market", "freq", F.coalesce("parent_name", "name").alias("parent_name")
+    )
+    return matched if per_market else matched.drop("market")
+
+
+def other_parents(
+    names: DataFrame,
+    rng: int = 20,
+    threshold: float = 0.90,
+    similarity: Similarity = Similarity(),
+    edge: str = "skip",
+    bucket_size: int = 1024,
+    per_market: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """All names with their positions, and ``(market, blank, pos, name, parent_name)`` of those with another parent
+    than themselves, which are written: mostly few. The market is blank with ``per_market=False``."""
     if not per_market:
         names = names.withColumn("market", F.lit(""))
     positioned = sorted_names(names.select("name", "market", "freq"))
-    pointers = best_neighbours(positioned, rng, threshold, similarity, edge, bucket_size)
-    final = follow_pointers(pointers).drop("target_pos")
-    matched = _same(positioned, final, [*_GROUPS, "pos"], "left").select(
-        "name", "market", "freq", F.coalesce("target_name", "name").alias("parent_name")
-    )
-    return matched if per_market else matched.drop("market")
+    pointers = written(best_neighbours(positioned, rng, threshold, similarity, edge, bucket_size), "neighbours")
+    final = follow_pointers(pointers).select(*_GROUPS, "pos", F.col("target_name").alias("parent_name"))
+    named = _same(final, pointers.select(*_GROUPS, "pos", "name"), [*_GROUPS, "pos"], "inner")
+    return positioned, written(named.select(*_GROUPS, "pos", "name", "parent_name"), "parents")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from namekin.sources.scratch import written
 
+#: Rows of the table of shifts (one per sorted partition and group) up to which it is broadcast.
+BROADCAST_SHIFTS = 100_000
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
 
@@ -35,7 +37,9 @@ def with_positions(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -
             F.sum("_rows").over(group).alias("n"),
         )
     )
-    shifts = shifts.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, "_run"]})
+    shifts = written(shifts.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, "_run"]}), "shifts")
+    if shifts.count() <= BROADCAST_SHIFTS:
+        shifts = F.broadcast(shifts)
     same = F.col("_run") == F.col("_of__run")
     for c in groups:  # a null is a group like any other
         same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))

@@ -8,6 +8,10 @@ from namekin.functions.similarity import Similarity, reaches
 from namekin.operators.blocking import candidate_pairs
 from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
 from namekin.operators.vocabulary import frequent, infrequent
+from namekin.sources.scratch import written
+
+#: Corrections up to which their table is broadcast to the words of the names.
+BROADCAST_CORRECTIONS = 1_000_000
 
 
 def scored_pairs(
@@ -57,12 +61,18 @@ def correct_names(
 ) -> DataFrame:
     """Corrected form of each name that changes: distinct ``(name, output)``.
 
-    ``names`` holds distinct names. Names without a misspelt word take no part in the regrouping.
+    ``names`` holds distinct names. Names without a misspelt word take no part in the regrouping. A name comes
+    once per word, so words are not shuffled with their names unless there are more than
+    ``BROADCAST_CORRECTIONS`` corrections.
     """
     words = names.select(
         name, F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("old_word")
     )
-    fixes = join_lookup(words, one_correction_each(spelling), ["old_word"], max_rows=max_rows)
+    corrections = written(one_correction_each(spelling), "corrections")
+    if corrections.count() <= BROADCAST_CORRECTIONS:
+        fixes = words.join(F.broadcast(corrections), "old_word")
+    else:
+        fixes = join_lookup(words, corrections, ["old_word"], max_rows=max_rows)
     per_name = fixes.groupBy(name).agg(
         F.map_from_entries(F.collect_list(F.struct("old_word", "new_word"))).alias("_fixes")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from namekin.functions.similarity import Similarity
 from namekin.operators.cleaning import blank_nulls, clean_names, drop_incomplete
-from namekin.operators.parents import assign_parents
+from namekin.operators.parents import other_parents
 from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
 from namekin.operators.spelling import build_spelling, correct_names
 from namekin.operators.vocabulary import build_vocabulary, name_frequency
@@ -86,28 +86,28 @@ def match_parents(
     names = name_frequency(
         corrected, "name_corrected", "market" if s.per_market else None, weight="n"
     )
-    parents = written(
-        assign_parents(
-            names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge,
-            per_market=s.per_market,
-        ),
-        "parents",
+    positioned, others = other_parents(
+        names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge, per_market=s.per_market,
     )
-    # What the attach step looks up is worked out per distinct name: records meet one table only.
-    known = corrected.select("name_clean", "market", "name_corrected")
+    # What the attach step looks up is worked out per distinct name: records meet one table only. Names that are
+    # their own parent are not looked up.
+    known = corrected.select("name_clean", "market", "name_corrected").filter(F.col("name_corrected").isNotNull())
+    others = others.select(F.col("name").alias("_name"), F.col("market").alias("_market"), "parent_name")
+    same = F.col("name_corrected") == F.col("_name")
     if s.per_market and s.join_key == "name_market":
-        table = parents.select(
-            F.col("name").alias("name_corrected"), F.col("market").alias("_market"), "parent_name"
-        )
-        same = known["name_corrected"] == table["name_corrected"]
-        table = known.join(
-            table, same & known["market"].eqNullSafe(table["_market"])
-        ).drop(table["name_corrected"]).drop("_market")
-    else:
-        table = known.join(
-            parents.select(F.col("name").alias("name_corrected"), "parent_name").distinct(),
-            "name_corrected",
+        same = same & F.col("market").eqNullSafe(F.col("_market"))
+    elif s.per_market:
+        # A name has the parents it has in any market; itself too, if it is its own parent in one of them.
+        everywhere = positioned.select("name", F.col("market").alias("_in")).join(
+            others.select(F.col("_name").alias("name")).distinct(), "name", "left_semi"
         )
+        here = (F.col("name") == F.col("_name")) & F.col("_in").eqNullSafe(F.col("_market"))
+        others = everywhere.join(others, here, "left").select(
+            F.col("name").alias("_name"), F.lit(None).alias("_market"), F.coalesce("parent_name", "name").alias("parent_name")
+        ).distinct()
+    table = known.join(others, same, "left").withColumn(
+        "parent_name", F.coalesce("parent_name", "name_corrected")
+    ).drop("_name", "_market")
     joined = join_lookup(
         clean_names(rows, **s.cleaning), table, ["name_clean", "market"],
         counts=counted, max_rows=s.max_rows_per_key, null_safe=True, distinct=True,
