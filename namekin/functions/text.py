@@ -43,8 +43,14 @@ def lookup(value: Column, table: Mapping[str, str]) -> Column:
     """
     if not table:
         return value
+    return F.get(F.transform(F.array(value), lambda v: _replaced(v, table)), 0)
+
+
+def _replaced(value: Column, table: Mapping[str, str]) -> Column:
+    """The entry of ``value``, else itself. Maps are searched from end to end, so the few values with an entry are
+    told by a hash set first (``isin``, once Catalyst has optimised it)."""
     entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.get(F.transform(F.array(value), lambda v: F.coalesce(entries[v], v)), 0)
+    return F.when(value.isin(list(table)), F.coalesce(entries[value], value)).otherwise(value)
 
 
 def tokens(name: Column) -> Column:
@@ -62,8 +68,7 @@ def expand_tokens(words: Column, table: Mapping[str, str]) -> Column:
     """Replace each token found in ``table``."""
     if not table:
         return words
-    entries = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    return F.transform(words, lambda t: F.coalesce(entries[t], t))
+    return F.transform(words, lambda t: _replaced(t, table))
 
 
 def join_tokens(words: Column) -> Column:

@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from namekin.functions.similarity import SIGNATURE_LETTERS, SIGNATURE_WORDS, Similarity, letter_signature
 from namekin.functions.text import prefix_key
 from namekin.operators.skew import MAX_ROWS_PER_KEY, split_blocks
+from namekin.sources.scratch import written
 
+#: Keys of the smaller side up to which they are broadcast, so that only words with such a key are shuffled.
+BROADCAST_KEYS = 4_000_000
 #: Differing characters up to which one agreeing class makes a key, and up to which two do. Pairs that may
 #: differ in more are keyed by prefix and lengths alone, and left to the letter signature.
 _ONE_CLASS, _TWO_CLASSES = 4, 12
@@ -67,11 +70,18 @@ def candidate_pairs(
         small, big = _by_classes(small, "l"), _by_classes(big.filter("_differing >= 0"), "r")
         keys = ["_block", "_length", "_differing", "_combination", "_letters"]
         small, big = (x.withColumn("_key", F.xxhash64(*keys)).drop("_length", "_differing", "_letters") for x in (small, big))
+        known = written(small.select("_key").distinct(), "keys")
+        if known.count() <= BROADCAST_KEYS:
+            big = big.join(F.broadcast(known), "_key", "left_semi")
     else:
         small, big = small.withColumn("_key", F.col("_block")), big.withColumn("_key", F.col("_block"))
-    big, small = split_blocks(
-        big, small, "_key", F.col(f"`{right_word}`"), max_rows, F.col(f"`{left_word}`")
-    )
+    # Words of equal key have equal prefix and length, which are far cheaper to count than keys.
+    if by_letters and not any(_crowded(df, word, prefix, max_rows) for df, word in ((left, left_word), (right, right_word))):
+        big, small = (x.withColumns({"_part": F.lit(0), "_other_part": F.lit(0)}) for x in (big, small))
+    else:
+        big, small = split_blocks(
+            big, small, "_key", F.col(f"`{right_word}`"), max_rows, F.col(f"`{left_word}`")
+        )
     if by_letters:
         small = small.withColumnsRenamed({"_combination": "_combination_l"})
     pairs = big.join(small, ["_key", "_part", "_other_part"])
@@ -84,6 +94,12 @@ def candidate_pairs(
     return pairs.filter(fits).select(*left.columns, *right.columns)
 
 
+def _crowded(df: DataFrame, word: str, prefix: int, max_rows: int) -> bool:
+    """Whether more than ``max_rows`` words share prefix and length."""
+    value = F.col(f"`{word}`")
+    return not df.groupBy(prefix_key(value, prefix), F.length(value)).count().filter(F.col("count") > max_rows).isEmpty()
+
+
 def _prepared(df: DataFrame, word: str, side: str, prefix: int) -> DataFrame:
     """The words with their length, prefix, block and letter signature."""
     value = F.col(f"`{word}`")

@@ -34,7 +34,7 @@ def build_spelling(
     Each word below ``min_count`` goes to the most similar word at or above it that shares its
     prefix and reaches ``threshold``; ties go to the higher count, then to the smaller word.
     """
-    known = vocabulary.filter(F.col("word") != "")
+    known = written(vocabulary.filter(F.col("word") != "").select("word", "counts"), "vocabulary")
     common = frequent(known, min_count).select(F.col("word").alias("new_word"), "counts")
     rare = infrequent(known, min_count).select(F.col("word").alias("old_word"))
     pairs = candidate_pairs(
