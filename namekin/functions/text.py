@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
 _WHITESPACE = " \t\n\x0b\f\r"
+_KEPT = string.ascii_letters + string.digits + " "
 
 
 def before_slash(name: Column) -> Column:
@@ -15,8 +17,12 @@ def before_slash(name: Column) -> Column:
 
 
 def strip_symbols(name: Column) -> Column:
-    """Keep ASCII letters, digits and spaces only."""
-    return F.regexp_replace(name, "[^a-zA-Z0-9 ]+", "")
+    """Keep ASCII letters, digits and spaces only.
+
+    What a value holds besides these is told first and then removed: replacing by a regular expression takes
+    several times as long, and was most of the time of cleaning.
+    """
+    return F.call_function("translate", name, F.translate(name, _KEPT, ""), F.lit(""))
 
 
 def blank_to_empty(name: Column) -> Column:

@@ -30,6 +30,20 @@ def test_golden_names(spark):
     assert [(r.raw_name, r.name_clean) for r in rows if r.name_clean != r.want] == []
 
 
+def test_symbols_are_stripped_without_a_regular_expression(spark):
+    import re
+
+    values = [
+        "Customer#000000017", "a##b#!c", "#", "", " ", "  x  ", "\ttab\nline\r", "Café ñ ß İ", "e\u0301 \U0001f600\U0001f600 9",
+        "$1 \\2 [^a-z] \\Q \\E", "-]^a", "\x00a\x00b\x7f", "\u00a0x\u2003y", "٣ ３ Ａ", "aZ09 " * 50 + "#" * 300, None,
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "value string").withColumn("stripped", text.strip_symbols(F.col("value")))
+    assert [r.stripped for r in df.collect()] == [v if v is None else re.sub("[^a-zA-Z0-9 ]", "", v) for v in values]
+    # Replacing by an expression took four fifths of the time of cleaning a record.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "translate" in plan
+
+
 def test_options(spark):
     df = spark.createDataFrame([("Albertson", "5     eleven Ltd", "a      b")], "a string, b string, c string")
     row = df.select(
