@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from namekin.functions.corrections import replacing
 from namekin.functions.similarity import Similarity, reaches
 from namekin.operators.blocking import candidate_pairs
 from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
 from namekin.operators.vocabulary import frequent, infrequent
 from namekin.sources.scratch import written
 
-#: Corrections up to which their table is broadcast to the words of the names.
-BROADCAST_CORRECTIONS = 1_000_000
+#: Corrections, and characters in them, up to which every task holds their table (some 40 bytes a correction).
+BROADCAST_CORRECTIONS, BROADCAST_CHARACTERS = 8_000_000, 1 << 28
 
 
 def scored_pairs(
@@ -52,34 +56,51 @@ def build_spelling(
     )
 
 
+@dataclass(frozen=True)
+class Corrections:
+    """One correction per misspelt word: their table and, if every task may hold it, the function that corrects a
+    column of names by it."""
+
+    table: DataFrame
+    column: Callable[[Column], Column] | None
+
+
+def corrections_of(spelling: DataFrame) -> Corrections:
+    """The corrections of a table, to be used for several tables of names."""
+    table = written(one_correction_each(spelling), "corrections")
+    size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("old_word") + F.length("new_word")), F.lit(0))).first()
+    held = size[0] <= BROADCAST_CORRECTIONS and size[1] <= BROADCAST_CHARACTERS
+    return Corrections(table, replacing(table.sparkSession, table.toArrow()) if held else None)
+
+
 def correct_names(
     names: DataFrame,
-    spelling: DataFrame,
+    spelling: DataFrame | Corrections,
     name: str = "name_clean",
     output: str = "name_corrected",
     max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
     """Corrected form of each name that changes: distinct ``(name, output)``.
 
-    ``names`` holds distinct names. Names without a misspelt word take no part in the regrouping. A name comes
-    once per word, so words are not shuffled with their names unless there are more than
-    ``BROADCAST_CORRECTIONS`` corrections.
+    ``names`` holds distinct names. With more than ``BROADCAST_CORRECTIONS`` corrections the words of the names are
+    shuffled, each with a hash of its name. Names that share a hash get each other's corrections too, which
+    changes nothing: a correction holds for its word in any name.
     """
-    words = names.select(
-        name, F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("old_word")
-    )
-    corrections = written(one_correction_each(spelling), "corrections")
-    if corrections.count() <= BROADCAST_CORRECTIONS:
-        fixes = words.join(F.broadcast(corrections), "old_word")
+    known = spelling if isinstance(spelling, Corrections) else corrections_of(spelling)
+    if known.column is not None:
+        corrected = names.select(name, F.lower(known.column(F.col(name))).alias(output))
     else:
-        fixes = join_lookup(words, corrections, ["old_word"], max_rows=max_rows)
-    per_name = fixes.groupBy(name).agg(
-        F.map_from_entries(F.collect_list(F.struct("old_word", "new_word"))).alias("_fixes")
-    )
-    words = F.transform(
-        F.split(F.col(name), " "), lambda w: F.coalesce(F.col("_fixes")[w], w)
-    )
-    return per_name.select(name, F.lower(F.array_join(words, " ")).alias(output))
+        hashed = names.select(name, F.xxhash64(name).alias("_name"))
+        words = hashed.select("_name", F.explode(F.array_distinct(F.split(F.col(name), " "))).alias("old_word"))
+        fixes = join_lookup(words, known.table, ["old_word"], max_rows=max_rows)
+        fixes = fixes.groupBy("_name").agg(
+            F.map_from_entries(F.collect_set(F.struct("old_word", "new_word"))).alias("_fixes")
+        )
+        words = F.transform(
+            F.split(F.col(name), " "), lambda w: F.coalesce(F.col("_fixes")[w], w)
+        )
+        corrected = hashed.join(fixes, "_name").select(name, F.lower(F.array_join(words, " ")).alias(output))
+    return corrected.filter(F.col(output) != F.lower(name))
 
 
 def one_correction_each(spelling: DataFrame) -> DataFrame:
@@ -93,7 +114,7 @@ def one_correction_each(spelling: DataFrame) -> DataFrame:
 
 def apply_spelling(
     df: DataFrame,
-    spelling: DataFrame,
+    spelling: DataFrame | Corrections,
     name: str = "name_clean",
     output: str | None = None,
     max_rows: int = MAX_ROWS_PER_KEY,
@@ -101,11 +122,15 @@ def apply_spelling(
     """Replace misspelt words in column ``name`` (into ``output`` if given); all rows are kept.
 
     Every name is lower-cased, corrected or not; words are separated by single spaces of the name, so
-    runs of spaces stay as they are. Works on distinct names and joins the changed ones back, so
-    nothing is regrouped per row.
+    runs of spaces stay as they are. Rows are corrected where they are, without a shuffle; with more than
+    ``BROADCAST_CORRECTIONS`` corrections the changed ones of the distinct names are joined back.
     """
-    changed = correct_names(df.select(name).distinct(), spelling, name, "_corrected", max_rows)
-    joined = join_lookup(df, changed, [name], "left", max_rows=max_rows)
-    value = F.coalesce("_corrected", F.lower(name))
+    known = spelling if isinstance(spelling, Corrections) else corrections_of(spelling)
+    if known.column is not None:
+        joined, value = df, F.lower(known.column(F.col(name)))
+    else:
+        changed = correct_names(df.select(name).distinct(), known, name, "_corrected", max_rows)
+        joined = join_lookup(df, changed, [name], "left", max_rows=max_rows)
+        value = F.coalesce("_corrected", F.lower(name))
     columns = [value.alias(c) if c == name and not output else F.col(c) for c in df.columns]
     return joined.select(*columns, *([value.alias(output)] if output else []))
