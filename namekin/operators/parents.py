@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from namekin.functions.similarity import SIGNATURE_WORDS, Similarity, letter_signature
-from namekin.operators.positions import neighbour_frames, with_positions
+from namekin.operators.positions import at_home, frame, in_buckets, with_positions
 from namekin.sources.scratch import written
 
 _GROUPS = ["market", "blank"]
@@ -16,9 +16,11 @@ _GROUPS = ["market", "blank"]
 def sorted_names(names: DataFrame) -> DataFrame:
     """``(name, market, freq)`` with positions per market.
 
-    Blank names get a group of their own, so they never have neighbours.
+    Blank names get a group of their own, so they never have neighbours. Names from ``name_frequency(ranged=True)``
+    have it already.
     """
-    return with_positions(names.withColumn("blank", F.col("name") == ""), _GROUPS, ["name"])
+    grouped = names if "blank" in names.columns else names.withColumn("blank", F.col("name") == "")
+    return with_positions(grouped, _GROUPS, ["name"])
 
 
 def best_neighbours(
@@ -39,17 +41,24 @@ def best_neighbours(
     """
     if edge not in ("skip", "partial"):
         raise ValueError(f"unknown edge mode {edge!r}")
-    # Frames hold positions, counts, lengths and letter signatures, no names: these are fetched for the pairs left.
+    # Names are dealt out once, to their buckets. Frames hold positions, counts, lengths and letter signatures, and the
+    # names that are more frequent than some name near them: no others are pointed to.
     letters = [f"_s{k}" for k in range(SIGNATURE_WORDS)]
-    described = positioned.withColumns({"_length": F.length("name"), **dict(zip(letters, letter_signature("name")))})
-    described = described.select(*_GROUPS, "pos", "n", "freq", "_length", *letters)
-    frames = neighbour_frames(described, _GROUPS, ["freq", "_length", *letters], rng, bucket_size)
+    near = frame(_GROUPS, rng)
+    spread = in_buckets(positioned.select(*_GROUPS, "pos", "n", "freq", "name"), rng, bucket_size).repartition(*_GROUPS, "_bucket")
+    described = spread.withColumns({
+        "_length": F.length("name"), **dict(zip(letters, letter_signature("name"))),
+        "_target": F.when(F.col("freq") > F.min("freq").over(near), F.col("name")),
+    })
+    frames = described.withColumn(
+        "neighbours", F.collect_list(F.struct("pos", "freq", "_length", *letters, "_target")).over(near)
+    ).filter(at_home(bucket_size))
     if edge == "skip":
         frames = frames.filter(F.col("pos").between(rng, F.col("n") - rng - 2))
 
     above = F.filter("neighbours", lambda x: x["freq"] > F.col("freq"))
     ranked = F.slice(F.sort_array(F.transform(
-        above, lambda x: F.struct((-x["freq"]).alias("order"), x["pos"], x["_length"], *[x[c] for c in letters])
+        above, lambda x: F.struct((-x["freq"]).alias("order"), x["pos"], x["_length"], *[x[c] for c in letters], x["_target"])
     )), 1, rng)
 
     def usable(ranked):
@@ -60,19 +69,17 @@ def best_neighbours(
             alike = similarity.letters_fit(lengths, ([F.col(c) for c in letters], [x[c] for c in letters]), threshold)
             return first_of_freq & similarity.lengths_fit_each(*lengths, threshold) & alike
 
-        return F.transform(F.filter(ranked, keep), lambda x: F.struct(x["order"], x["pos"]))
+        return F.transform(F.filter(ranked, keep), lambda x: F.struct(x["order"], x["pos"], x["_target"]))
 
     # Built as one array value and unpacked by a generator: Catalyst can neither repeat parts of the
     # expression in filters below nor evaluate it twice.
     usable = F.filter(F.transform(F.array(ranked), usable), lambda u: F.size(u) > 0)
-    frames = frames.select(*_GROUPS, "pos", "freq", F.explode(usable).alias("usable"))
-    pairs = frames.select(*_GROUPS, "pos", "freq", F.explode("usable").alias("other")).select(
-        *_GROUPS, "pos", "freq", F.col("other.order").alias("order"), F.col("other.pos").alias("target_pos")
+    own = [*_GROUPS, "pos", "freq", "name"]
+    frames = frames.select(*own, F.explode(usable).alias("usable"))
+    pairs = frames.select(*own, F.explode("usable").alias("other")).select(
+        *own, F.col("other.order").alias("order"), F.col("other.pos").alias("target_pos"),
+        F.col("other._target").alias("target_name"),
     )
-    names = positioned.select(*_GROUPS, "pos", "name")
-    pairs = _same(pairs, names, [*_GROUPS, "pos"], "inner")
-    named = names.withColumnsRenamed({"pos": "target_pos", "name": "target_name"})
-    pairs = _same(pairs, named, [*_GROUPS, "target_pos"], "inner")
     similar = pairs.filter(similarity.reaching(threshold)("name", "target_name"))
     best = F.min(F.struct("order", "target_pos", "target_name", "name", "freq")).alias("best")
     return similar.groupBy(*_GROUPS, "pos").agg(best).select(
@@ -166,7 +173,7 @@ def other_parents(
     than themselves, which are written: mostly few. The market is blank with ``per_market=False``."""
     if not per_market:
         names = names.withColumn("market", F.lit(""))
-    positioned = sorted_names(names.select("name", "market", "freq"))
+    positioned = sorted_names(names.select("name", "market", "freq", *[c for c in names.columns if c == "blank"]))
     pointers = written(best_neighbours(positioned, rng, threshold, similarity, edge, bucket_size), "neighbours")
     final = follow_pointers(pointers).select(*_GROUPS, "pos", F.col("target_name").alias("parent_name"))
     named = _same(final, pointers.select(*_GROUPS, "pos", "name"), [*_GROUPS, "pos"], "inner")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from namekin.sources.scratch import written
 
@@ -22,7 +22,7 @@ def with_positions(df: DataFrame, groups: Sequence[str], order: Sequence[str]) -
     adds up the shifts only sees one row per partition and group.
     """
     ranged = df.orderBy(*groups, *order).withColumn("_id", F.monotonically_increasing_id())
-    ranged = written(ranged, "sorted").withColumns({
+    ranged = written(ranged, "sorted", "zstd").withColumns({
         "_run": F.shiftright("_id", _ROW_BITS),
         "_row": F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1),
     }).drop("_id")
@@ -63,19 +63,32 @@ def neighbour_frames(
     Positions are cut into buckets; rows near a border are copied into the next bucket, so each
     bucket is complete by itself and no task holds more than ``bucket_size + 2 * rng`` rows of it.
     """
+    spread = in_buckets(positioned, rng, bucket_size)
+    framed = spread.withColumn("neighbours", F.collect_list(F.struct("pos", *payload)).over(frame(groups, rng)))
+    return (
+        framed.filter(at_home(bucket_size)).drop("_bucket")
+        .withColumn("neighbours", F.filter("neighbours", lambda x: x["pos"] != F.col("pos")))
+    )
+
+
+def in_buckets(positioned: DataFrame, rng: int, bucket_size: int) -> DataFrame:
+    """The rows with their ``_bucket`` of positions, those near a border also with the bucket beyond it."""
     bucket = lambda pos: F.floor(pos / bucket_size)
     pos = F.col("pos")
-    spread = positioned.withColumn(
+    return positioned.withColumn(
         "_bucket",
         F.explode(F.sequence(
             bucket(F.greatest(pos - rng, F.lit(0))),
             bucket(F.least(pos + rng, F.col("n") - 1)),
         )),
     )
-    frame = Window.partitionBy(*groups, "_bucket").orderBy("pos").rowsBetween(-rng, rng)
-    framed = spread.withColumn("neighbours", F.collect_list(F.struct("pos", *payload)).over(frame))
-    return (
-        framed.filter(F.col("_bucket") == bucket(pos))
-        .drop("_bucket")
-        .withColumn("neighbours", F.filter("neighbours", lambda x: x["pos"] != F.col("pos")))
-    )
+
+
+def frame(groups: Sequence[str], rng: int) -> WindowSpec:
+    """The rows up to ``rng`` positions away, within a bucket."""
+    return Window.partitionBy(*groups, "_bucket").orderBy("pos").rowsBetween(-rng, rng)
+
+
+def at_home(bucket_size: int) -> Column:
+    """Whether a row stands in its own bucket."""
+    return F.col("_bucket") == F.floor(F.col("pos") / bucket_size)

@@ -48,11 +48,22 @@ def name_frequency(
     name: str = "name_clean",
     market: str | None = "market",
     weight: str | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
-    """Counts per name and market: ``(name, market, freq)``; ``market=None`` counts globally."""
+    """Counts per name and market: ``(name, market, freq)``; ``market=None`` counts globally.
+
+    ``ranged`` is for rows that were counted before, so that few are left of each name: they are dealt out in the
+    order of ``parents.sorted_names``, which then needs no shuffle of its own, and get its column ``blank``.
+    """
     keys = [F.col(name).alias("name")] + ([F.col(market).alias("market")] if market else [])
+    df = df.filter(F.col(name).isNotNull())
+    if ranged:
+        amount = F.col(weight) if weight else F.lit(1)
+        df = df.select(*keys, (F.col(name) == "").alias("blank"), amount.alias("_amount"))
+        keys = [*(["market"] if market else []), "blank", "name"]
+        df, weight = df.repartitionByRange(*keys), "_amount"
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    return df.filter(F.col(name).isNotNull()).groupBy(*keys).agg(amount.alias("freq"))
+    return df.groupBy(*keys).agg(amount.alias("freq"))
 
 
 def top_names(names: DataFrame, n: int, name: str = "name", freq: str = "freq") -> DataFrame:

@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from namekin.functions.similarity import Similarity
+from namekin.operators.blocking import BROADCAST_KEYS
 from namekin.operators.cleaning import blank_nulls, clean_names, drop_incomplete
 from namekin.operators.parents import other_parents
 from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
-from namekin.operators.spelling import build_spelling, correct_names
+from namekin.operators.spelling import apply_spelling, build_spelling, corrections_of
 from namekin.operators.vocabulary import build_vocabulary, name_frequency
 from namekin.sources.scratch import written
 
@@ -47,7 +48,7 @@ def match_parents(
 
     Records are scanned twice: once to count cleaned names, once to attach the result, which shuffles
     them once and removes copies on the way. Everything between works on distinct names with their
-    counts, which are far fewer. ``corrections`` is a correction table of an earlier run; without it
+    counts, which are far fewer. Names are corrected where they are, in both scans. ``corrections`` is a correction table of an earlier run; without it
     one is learned from these records.
     """
     s = settings
@@ -64,7 +65,7 @@ def match_parents(
         clean_names(rows, **s.cleaning)
         .groupBy("name_clean", "market")
         .agg(F.count(F.lit(1)).alias("n")),
-        "names",
+        "names", "zstd",
     )
     if corrections is None:
         corrections = written(
@@ -74,45 +75,42 @@ def match_parents(
             ),
             "spelling",
         )
-    changed = correct_names(
-        counted.select("name_clean").distinct(), corrections, max_rows=s.max_rows_per_key
-    )
-    corrected = written(
-        counted.join(changed, "name_clean", "left").withColumn(
-            "name_corrected", F.coalesce("name_corrected", F.lower("name_clean"))
-        ),
-        "corrected",
-    )
+    corrections = corrections_of(corrections)
+    fixed = lambda df: apply_spelling(df, corrections, "name_clean", "name_corrected", s.max_rows_per_key)
     names = name_frequency(
-        corrected, "name_corrected", "market" if s.per_market else None, weight="n"
+        fixed(counted), "name_corrected", "market" if s.per_market else None, weight="n", ranged=True
     )
     positioned, others = other_parents(
         names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge, per_market=s.per_market,
     )
-    # What the attach step looks up is worked out per distinct name: records meet one table only. Names that are
-    # their own parent are not looked up.
-    known = corrected.select("name_clean", "market", "name_corrected").filter(F.col("name_corrected").isNotNull())
-    others = others.select(F.col("name").alias("_name"), F.col("market").alias("_market"), "parent_name")
-    same = F.col("name_corrected") == F.col("_name")
-    if s.per_market and s.join_key == "name_market":
-        same = same & F.col("market").eqNullSafe(F.col("_market"))
+    # Names that are their own parent are not looked up: records meet the others only.
+    keys = ["name_corrected", "market"] if s.per_market and s.join_key == "name_market" else ["name_corrected"]
+    others = others.withColumnRenamed("name", "name_corrected")
+    counts = positioned.select(F.col("name").alias("name_corrected"), "market", F.col("freq").alias("n"))
+    if len(keys) == 2:
+        counts = counts.filter(F.col("n") > s.max_rows_per_key)  # a row per key: no sums are needed to find the heavy ones
     elif s.per_market:
-        # A name has the parents it has in any market; itself too, if it is its own parent in one of them.
-        everywhere = positioned.select("name", F.col("market").alias("_in")).join(
-            others.select(F.col("_name").alias("name")).distinct(), "name", "left_semi"
-        )
-        here = (F.col("name") == F.col("_name")) & F.col("_in").eqNullSafe(F.col("_market"))
-        others = everywhere.join(others, here, "left").select(
-            F.col("name").alias("_name"), F.lit(None).alias("_market"), F.coalesce("parent_name", "name").alias("parent_name")
-        ).distinct()
-    table = known.join(others, same, "left").withColumn(
-        "parent_name", F.coalesce("parent_name", "name_corrected")
-    ).drop("_name", "_market")
+        others = _in_any_market(positioned, others)
     joined = join_lookup(
-        clean_names(rows, **s.cleaning), table, ["name_clean", "market"],
-        counts=counted, max_rows=s.max_rows_per_key, null_safe=True, distinct=True,
+        fixed(clean_names(rows, **s.cleaning)).drop("name_clean"), others.select(*keys, "parent_name"), keys, "left",
+        counts=counts, max_rows=s.max_rows_per_key, null_safe=True, distinct=True,
     )
     return joined.select(
         "record_id", "raw_name", F.col("name_corrected").alias("name_clean"),
-        "parent_name", "market", F.lit(1).alias("score"),
+        F.coalesce("parent_name", "name_corrected").alias("parent_name"), "market", F.lit(1).alias("score"),
     )
+
+
+def _in_any_market(positioned: DataFrame, others: DataFrame) -> DataFrame:
+    """``(name_corrected, parent_name)``: the parents that the names of ``others`` have in any market; themselves too,
+    if they are their own parent in one of them."""
+    wanted = others.select(F.col("name_corrected").alias("name")).distinct()
+    hashes = written(wanted.select(F.xxhash64("name").alias("_hash")).distinct(), "hashes")
+    everywhere = positioned.select("name", F.col("market").alias("_in"))
+    if hashes.count() <= BROADCAST_KEYS:  # then only the names in question are shuffled
+        everywhere = everywhere.withColumn("_hash", F.xxhash64("name")).join(F.broadcast(hashes), "_hash", "left_semi").drop("_hash")
+    everywhere = everywhere.join(wanted, "name", "left_semi")
+    here = (F.col("name") == F.col("name_corrected")) & F.col("_in").eqNullSafe(F.col("market"))
+    return everywhere.join(others.select("name_corrected", "market", "parent_name"), here, "left").select(
+        F.col("name").alias("name_corrected"), F.coalesce("parent_name", "name").alias("parent_name")
+    ).distinct()

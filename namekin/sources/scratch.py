@@ -54,17 +54,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return "/".join([scratch_root(spark), *_scopes[-1:], f"{label}-{uuid.uuid4().hex}"])
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the scratch folder now and return a scan of what was written.
 
-    The shuffle files of the write are removed as soon as it has ended: nothing reads them again.
+    The shuffle files of the write are removed as soon as it has ended: nothing reads them again. ``codec``
+    stands for the usual compression; ``zstd`` takes some more time and far less space for texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     finally:
         if before is None:
             spark.conf.unset(SHUFFLE_CLEANUP)
