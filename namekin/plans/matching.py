@@ -10,10 +10,10 @@ from namekin.functions.similarity import Similarity
 from namekin.operators.blocking import BROADCAST_KEYS
 from namekin.operators.cleaning import blank_nulls, clean_names, drop_incomplete
 from namekin.operators.parents import other_parents
-from namekin.operators.skew import MAX_ROWS_PER_KEY, join_lookup
+from namekin.operators.skew import HEAVIEST, MAX_ROWS_PER_KEY, join_lookup
 from namekin.operators.spelling import apply_spelling, build_spelling, corrections_of
 from namekin.operators.vocabulary import build_vocabulary, name_frequency
-from namekin.sources.scratch import written
+from namekin.sources.scratch import outside_scope, scratch_scope, written
 
 
 @dataclass(frozen=True)
@@ -61,38 +61,38 @@ def match_parents(
         raise ValueError(f"unknown null mode {s.nulls!r}")
     if s.join_key not in ("name", "name_market"):
         raise ValueError(f"unknown join key {s.join_key!r}")
-    counted = written(
-        clean_names(rows, **s.cleaning)
-        .groupBy("name_clean", "market")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "names", "zstd",
-    )
-    if corrections is None:
-        corrections = written(
-            build_spelling(
+    keys = ["name_corrected", "market"] if s.per_market and s.join_key == "name_market" else ["name_corrected"]
+    # Tables that the result does not read are removed before the records are shuffled.
+    with scratch_scope(records.sparkSession):
+        counted = written(
+            clean_names(rows, **s.cleaning)
+            .groupBy("name_clean", "market")
+            .agg(F.count(F.lit(1)).alias("n")),
+            "names", "zstd",
+        )
+        if corrections is None:
+            corrections = build_spelling(
                 build_vocabulary(counted, weight="n"), s.min_count, s.spelling_threshold, s.prefix,
                 s.spelling_similarity or s.similarity, s.max_rows_per_key,
-            ),
-            "spelling",
+            )
+        with outside_scope():
+            corrections = corrections_of(corrections)
+        fixed = lambda df: apply_spelling(df, corrections, "name_clean", "name_corrected", s.max_rows_per_key)
+        names = name_frequency(
+            fixed(counted), "name_corrected", "market" if s.per_market else None, weight="n", ranged=True
         )
-    corrections = corrections_of(corrections)
-    fixed = lambda df: apply_spelling(df, corrections, "name_clean", "name_corrected", s.max_rows_per_key)
-    names = name_frequency(
-        fixed(counted), "name_corrected", "market" if s.per_market else None, weight="n", ranged=True
-    )
-    positioned, others = other_parents(
-        names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge, per_market=s.per_market,
-    )
-    # Names that are their own parent are not looked up: records meet the others only.
-    keys = ["name_corrected", "market"] if s.per_market and s.join_key == "name_market" else ["name_corrected"]
-    others = others.withColumnRenamed("name", "name_corrected")
-    counts = positioned.select(F.col("name").alias("name_corrected"), "market", F.col("freq").alias("n"))
-    if len(keys) == 2:
-        counts = counts.filter(F.col("n") > s.max_rows_per_key)  # a row per key: no sums are needed to find the heavy ones
-    elif s.per_market:
-        others = _in_any_market(positioned, others)
+        positioned, others = other_parents(
+            names, s.rng, s.parent_threshold, s.parent_similarity or s.similarity, s.edge, per_market=s.per_market,
+        )
+        # Names that are their own parent are not looked up: records meet the others only.
+        others = others.withColumnRenamed("name", "name_corrected")
+        if s.per_market and len(keys) == 1:
+            others = _in_any_market(positioned, others)
+        with outside_scope():
+            others = written(others.select(*keys, "parent_name"), "others")
+            counts = written(_frequent(positioned, keys, s.max_rows_per_key), "frequent")
     joined = join_lookup(
-        fixed(clean_names(rows, **s.cleaning)).drop("name_clean"), others.select(*keys, "parent_name"), keys, "left",
+        fixed(clean_names(rows, **s.cleaning)).drop("name_clean"), others, keys, "left",
         counts=counts, max_rows=s.max_rows_per_key, null_safe=True, distinct=True,
     )
     return joined.select(
@@ -101,6 +101,17 @@ def match_parents(
     )
 
 
+def _frequent(positioned: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
+    """The keys with more than ``max_rows`` records, and their number ``n``."""
+    counts = positioned.select(F.col("name").alias("name_corrected"), "market", F.col("freq").alias("n"))
+    if len(keys) == 1:  # else there is a row per key already
+        hashed = counts.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.sum("n").alias("n"))
+        heavy = hashed.filter(F.col("n") > max_rows).orderBy(F.desc("n")).limit(HEAVIEST).select("_hash")
+        counts = counts.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(heavy), "_hash", "left_semi")
+        return counts.groupBy(*keys).agg(F.sum("n").alias("n"))
+    return counts.filter(F.col("n") > max_rows)
+
+
 def _in_any_market(positioned: DataFrame, others: DataFrame) -> DataFrame:
     """``(name_corrected, parent_name)``: the parents that the names of ``others`` have in any market; themselves too,
     if they are their own parent in one of them."""

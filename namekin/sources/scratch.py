@@ -49,6 +49,16 @@ def scratch_scope(spark: SparkSession):
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextlib.contextmanager
+def outside_scope():
+    """What is written inside the block belongs to the scope around the innermost one, and outlives that."""
+    scope = _scopes.pop()
+    try:
+        yield
+    finally:
+        _scopes.append(scope)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the scratch folder."""
     return "/".join([scratch_root(spark), *_scopes[-1:], f"{label}-{uuid.uuid4().hex}"])

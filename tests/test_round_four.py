@@ -5,6 +5,7 @@ import pytest
 from namekin.operators import parents, vocabulary
 from namekin.operators.positions import with_positions
 from namekin.plans import matching
+from namekin.sources import scratch
 
 
 def plan_of(df):
@@ -37,3 +38,14 @@ def test_parents_of_a_name_in_any_market(spark, monkeypatch, most):
     others = spark.createDataFrame([("a", "m", "p"), ("a", None, "q"), ("c", None, "p")], "name_corrected string, market string, parent_name string")
     got = sorted(tuple(r) for r in matching._in_any_market(placed, others).collect())
     assert got == [("a", "a"), ("a", "p"), ("a", "q"), ("c", "p")]
+
+
+def test_tables_the_result_does_not_read_are_removed(spark, monkeypatch, tmp_path):
+    rows = [(str(k), f"Acme Works {k % 40:02d}" + "x" * (k % 7 == 0), None if k % 5 == 0 else "m") for k in range(300)]
+    df = spark.createDataFrame(rows, "record_id string, raw_name string, market string")
+    monkeypatch.setattr(scratch, "scratch_root", lambda spark: str(tmp_path))
+    for key in ("name", "name_market"):
+        result = matching.match_parents(df, matching.Settings(min_count=20, rng=3, max_rows_per_key=4, join_key=key, nulls="blank"))
+        kept = {p.parent.name.split("-")[0] for p in tmp_path.rglob("*.parquet")}
+        assert kept <= {"corrections", "others", "frequent"} and "others" in kept
+        assert {r["record_id"] for r in result.collect()} == {r[0] for r in rows}
